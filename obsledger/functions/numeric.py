@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.functions.text import strip
 from obsledger.schema import MAX_MINUTES
 
-# A plain decimal number. Spark's own cast also takes "5d", "5f", "NaN" and
-# "Infinity", which must count as unreadable here.
-DECIMAL = r"^[+\-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+\-]?\d+)?$"
+# A whole number written with a decimal point, such as 7.0.
+POINT_ZERO = r"^\s*([+\-]?\d{1,15})\.0*\s*$"
 
 
 def coerce_double(text: Column) -> Column:
-    """Number in a text, or null. Whole numbers skip the regular expression."""
-    bare = strip(text)
+    """Number in a text, or null. Whole numbers take the short way.
+
+    The decimal cast reads signs, fractions and exponents, but not the "5d",
+    "5f", "NaN" and "Infinity" that a cast to double would let through.
+    """
     return F.coalesce(
         text.try_cast("bigint").cast("double"),
-        F.when(bare.rlike(DECIMAL), bare.try_cast("double")),
+        text.try_cast("decimal(38,18)").cast("double"),
     )
 
 
@@ -27,38 +28,61 @@ def half_even(c: Column) -> Column:
     return F.rint(c)
 
 
-def bounded_minutes(text: Column, upper: int = MAX_MINUTES) -> Column:
-    """Rounded minutes within 0..upper as bigint; null otherwise."""
-    rounded = half_even(coerce_double(text))
-    return F.when(rounded.between(0, upper), rounded).cast("bigint")
+def in_range(minutes: Column, upper: int = MAX_MINUTES) -> Column:
+    """True for rounded minutes within 0..upper; null counts as outside."""
+    return F.coalesce(minutes.between(0, upper), F.lit(False))
 
 
-def whole(c: Column) -> Column:
-    """The value as bigint if it is a whole number of sane size, else null."""
-    return F.when((F.abs(c) < 1e15) & (c == F.rint(c)), c).cast("bigint")
+def coerce_whole(text: Column) -> Column:
+    """Whole number in a text as bigint, or null; ``7.0`` is whole, ``7.5`` is not."""
+    return F.coalesce(
+        text.try_cast("bigint"),
+        F.regexp_extract(text, POINT_ZERO, 1).try_cast("bigint"),
+    )
 
 
 def clip(c: Column, low: int, high: int) -> Column:
-    """Bound a value; null becomes the lower bound's neighbour only via coalesce."""
+    """Bound a value from below and above; it must not be null."""
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
 
 
-def split_hour(v: Column) -> Column:
-    """Hour of a compact clock value: H, HHMM or HHMMSS. Null stays null."""
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b))
+
+
+def split_hour(floored: Column, is_whole: Column) -> Column:
+    """Hour of a compact clock value (H, HHMM or HHMMSS) given its floor.
+
+    Null for null and for a fractional bare hour.
+    """
     return (
-        F.when(v >= 10000, F.floor(v / 10000))
-        .when(v >= 100, F.floor(v / 100))
-        .otherwise(whole(v))
+        F.when(floored >= 10000, _div(floored, 10000))
+        .when(floored >= 100, _div(floored, 100))
+        .when(is_whole, floored)
     )
 
 
-def split_minute(v: Column) -> Column:
+def split_minute(floored: Column, is_whole: Column) -> Column:
     """Minute of a compact clock value; null for a bare hour."""
-    return F.when(v >= 10000, F.floor((v % 10000) / 100)).when(
-        v >= 100, whole(v % 100)
+    return F.when(floored >= 10000, _div(floored % 10000, 100)).when(
+        (floored >= 100) & is_whole, floored % 100
     )
 
 
-def bounded(v: Column) -> Column:
-    """Keep only values a clock field can be split from without overflow."""
-    return F.when(F.abs(v) < 1e15, v)
+def split_clock(
+    df: DataFrame, value: str, minute: Column, hour_out: str, minute_out: str
+) -> DataFrame:
+    """Add hour and minute of the compact clock value in column ``value``.
+
+    The minute inside the compact value wins, then ``minute`` (a whole number or
+    null), then 0. Values too large to be floored count as unreadable.
+    """
+    v, floored = F.col(value), "__floored"
+    df = df.withColumn(floored, F.when(F.abs(v) < 1e15, F.floor(v)))
+    f, is_whole = F.col(floored), F.col(floored) == v
+    return df.withColumns(
+        {
+            hour_out: F.coalesce(split_hour(f, is_whole), F.lit(0)),
+            minute_out: F.coalesce(split_minute(f, is_whole), minute, F.lit(0)),
+        }
+    ).drop(floored)

@@ -16,20 +16,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.text import has_offset
-from obsledger.schema import MAX_YEAR, MIN_YEAR, REPORT_ZONE
+from obsledger.schema import CLOCK_YEARS, REPORT_ZONE
 
+# The form almost every stored time has; needs no reformatting.
+CANONICAL = r"^\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(?:\.\d+)?$"
 ISO_LOCAL = (
     r"^\d{4}-\d{1,2}-\d{1,2}"
     r"(?:[ T]\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?)?$"
 )
-_PM = r"(?i)\s*pm$"
-_AM = r"(?i)\s*am$"
 
 
 def _epoch() -> Column:
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
 
 
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b))
+
+
 def _minutes_of_interval(iv: Column) -> Column:
     return (
         F.extract(F.lit("DAY"), iv).cast("bigint") * 1440
@@ -62,57 +66,75 @@ def iso_seconds(local: Column) -> Column:
 
 
 def in_clock_range(local: Column) -> Column:
-    """Null out years a nanosecond clock cannot hold."""
-    return F.when(F.year(local).between(MIN_YEAR, MAX_YEAR), local)
+    """True for times a 64-bit nanosecond clock can hold, false for null.
+
+    Written so that ``local`` occurs once: it is often a long expression.
+    """
+    return F.coalesce(F.abs(F.year(local) - 1970) <= CLOCK_YEARS, F.lit(False))
 
 
-def safe_local_timestamp(
+def local_timestamp(
     year: Column, month: Column, day: Column, hour: Column, minute: Column
 ) -> Column:
-    """Wall-clock value from parts; an impossible date gives null."""
-    return F.when(
-        year.between(MIN_YEAR, MAX_YEAR) & month.between(1, 12) & day.between(1, 31),
-        F.try_make_timestamp_ntz(
-            year.cast("int"),
-            month.cast("int"),
-            day.cast("int"),
-            hour.cast("int"),
-            minute.cast("int"),
-            F.lit(0).cast("decimal(8,6)"),
-        ),
+    """Wall-clock value from whole parts; an impossible date gives null."""
+    return F.try_make_timestamp_ntz(
+        year.try_cast("int"),
+        month.try_cast("int"),
+        day.try_cast("int"),
+        hour.try_cast("int"),
+        minute.try_cast("int"),
+        F.lit(0).cast("decimal(8,6)"),
     )
 
 
+def is_possible_date(year: Column, month: Column, day: Column) -> Column:
+    """True for a calendar date within the range a nanosecond clock can hold."""
+    return in_clock_range(local_timestamp(year, month, day, F.lit(0), F.lit(0)))
+
+
 def _reordered(text: Column) -> Column:
-    """Bring y/M/d, M/d/y and compact dates into ISO field order."""
+    """Bring y/M/d, M/d/y and compact dates into ISO order; cut a final am/pm."""
     c = F.regexp_replace(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
     c = F.regexp_replace(c, r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})(?!\d)", "$3-$1-$2")
-    return F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(?=[ T]|$)", "$1-$2-$3")
+    c = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(?=[ T]|$)", "$1-$2-$3")
+    return F.regexp_replace(c, r"(?i)\s*[ap]m$", "")
+
 
+def parse_local(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: the wall clock in column ``text``, null if unreadable or zoned.
 
-def _twelve_hour(text: Column) -> Column:
-    """Parse an ISO-ordered text that may end in am/pm."""
-    bare = F.regexp_replace(text, r"(?i)\s*[ap]m$", "")
-    local = F.when(bare.rlike(ISO_LOCAL), bare.try_cast("timestamp_ntz"))
+    Canonical texts, the bulk of any drop, take one regular expression and one
+    cast; the other forms are only tried on what is left. Each step is its own
+    projection: nested, the steps would be copied into each other and the
+    generated method would grow beyond what the JVM compiles.
+    """
+    c, canonical, ordered, local = F.col(text), "__canonical", "__ordered", "__parsed"
+    df = df.withColumn(canonical, c.rlike(CANONICAL))
+    df = df.withColumn(
+        ordered, F.when(F.col(canonical), c).when(~has_offset(c), _reordered(c))
+    )
+    df = df.withColumn(
+        local,
+        F.when(
+            F.col(canonical) | F.col(ordered).rlike(ISO_LOCAL),
+            F.col(ordered).try_cast("timestamp_ntz"),
+        ),
+    )
+    half_day = F.lower(F.substring(c, -2, 2))
     shift = (
-        F.when(text.rlike(_PM) & (F.hour(local) < 12), 12)
-        .when(text.rlike(_AM) & (F.hour(local) == 12), -12)
+        F.when((half_day == "pm") & (F.hour(local) < 12), 12)
+        .when((half_day == "am") & (F.hour(local) == 12), -12)
         .otherwise(0)
     )
-    return local + F.make_dt_interval(F.lit(0), shift)
-
-
-def parse_local(text: Column) -> Column:
-    """Wall-clock value of a text without an offset; null if unreadable.
-
-    ISO texts, the bulk of any drop, take one regular expression and one cast;
-    the other forms are only tried on what is left.
-    """
-    return in_clock_range(
-        F.when(text.rlike(ISO_LOCAL), text.try_cast("timestamp_ntz")).when(
-            ~has_offset(text), _twelve_hour(_reordered(text))
-        )
+    df = df.withColumn(
+        local,
+        F.when(F.col(canonical), F.col(local)).otherwise(
+            F.col(local) + F.make_dt_interval(F.lit(0), shift)
+        ),
     )
+    return df.withColumn(
+        out, F.when(in_clock_range(F.col(local)), F.col(local))
+    ).drop(canonical, ordered, local)
 
 
 def offset_text(minutes: Column) -> Column:
@@ -120,26 +142,18 @@ def offset_text(minutes: Column) -> Column:
     size = F.abs(minutes)
     return F.concat(
         F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.floor(size / 60).cast("string"), 2, "0"),
+        F.lpad(_div(size, 60).cast("string"), 2, "0"),
         F.lit(":"),
         F.lpad((size % 60).cast("string"), 2, "0"),
     )
 
 
-def _zone_column(zone: str | Column) -> Column:
-    return F.lit(zone) if isinstance(zone, str) else zone
-
-
-def _shift_to_utc(minutes: Column, zone: Column) -> Column:
-    return F.floor(
-        F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(minutes * 60), zone)) / 60
-    )
+def _to_utc(seconds: Column, zone: Column) -> Column:
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(seconds), zone))
 
 
-def _shift_from_utc(minutes: Column, zone: Column) -> Column:
-    return F.floor(
-        F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(minutes * 60), zone)) / 60
-    )
+def _from_utc(seconds: Column, zone: Column) -> Column:
+    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(seconds), zone))
 
 
 def localize(
@@ -149,6 +163,7 @@ def localize(
     out: str,
     *,
     fold: str = "earlier",
+    text: Column | None = None,
 ) -> DataFrame:
     """Add ``out``: the wall clock in column ``local`` as ISO text with offset.
 
@@ -157,40 +172,38 @@ def localize(
     * A repeated time takes the first occurrence (``fold="earlier"``), the
       second (``"later"``) or gives null (``"null"``).
 
-    The steps are separate projections so that each is evaluated once per row.
+    ``text`` may hold the ISO text of ``local`` if it is at hand. The steps are
+    separate projections so that each is evaluated once per row.
     """
     if fold not in ("earlier", "later", "null"):
         raise ValueError(f"unknown fold rule: {fold}")
-    z = _zone_column(zone)
-    wall, utc, back = "__wall", "__utc", "__back"
-    df = df.withColumn(wall, epoch_minutes(F.col(local)))
-    df = df.withColumn(utc, _shift_to_utc(F.col(wall), z))
+    z = F.lit(zone) if isinstance(zone, str) else zone
+    wall, utc, back, late = F.col("__wall"), F.col("__utc"), F.col("__back"), F.col("__late")
+    df = df.withColumn("__wall", epoch_minutes(F.col(local)) * 60)
+    df = df.withColumn("__utc", _to_utc(wall, z))
     if fold != "earlier":
         # One day on, any change is complete, so the later offset applies.
-        df = df.withColumn(
-            "__late",
-            F.col(wall) - (_shift_from_utc(F.col(utc) + 1440, z) - (F.col(utc) + 1440)),
-        )
-        repeated = (F.col("__late") > F.col(utc)) & (
-            _shift_from_utc(F.col("__late"), z) == F.col(wall)
-        )
-        other = F.col("__late") if fold == "later" else F.lit(None).cast("bigint")
-        df = df.withColumn(utc, F.when(repeated, other).otherwise(F.col(utc)))
-    df = df.withColumn(back, _shift_from_utc(F.col(utc), z))
-
-    plain = iso_seconds(F.col(local))
-    moved = F.col(local) + F.make_dt_interval(
-        F.lit(0),
-        F.lit(0),
-        (F.col(back) - F.col(wall) - F.col(wall) % 60).cast("int"),
+        tomorrow = utc + 86400
+        df = df.withColumn("__late", wall - (_from_utc(tomorrow, z) - tomorrow))
+        repeated = (late > utc) & (_from_utc(late, z) == wall)
+        other = late if fold == "later" else F.lit(None).cast("bigint")
+        df = df.withColumn("__utc", F.when(repeated, other).otherwise(utc)).drop("__late")
+    df = df.withColumn("__back", _from_utc(utc, z))
+
+    # Inside a gap: the length of the gap after the hour in which it starts.
+    first_valid = (
+        F.substring(
+            iso_seconds(wall_clock(wall - F.pmod(wall, F.lit(3600)) + back - wall)), 1, 16
+        ),
+        F.lit(":00"),
     )
-    first_valid = F.concat(F.substring(iso_seconds(moved), 1, 16), F.lit(":00"))
-    text = F.concat(
-        F.when(F.col(back) == F.col(wall), plain).otherwise(first_valid),
-        offset_text(F.col(back) - F.col(utc)),
+    plain = iso_seconds(F.col(local)) if text is None else text
+    df = df.withColumn(
+        "__clock", F.when(back == wall, plain).when(back != wall, F.concat(*first_valid))
     )
-    extra = [wall, utc, back] + (["__late"] if fold != "earlier" else [])
-    return df.withColumn(out, text).drop(*extra)
+    return df.withColumn(
+        out, F.concat(F.col("__clock"), offset_text(_div(back - utc, 60)))
+    ).drop("__wall", "__utc", "__back", "__clock")
 
 
 def ensure_offset(
@@ -201,11 +214,16 @@ def ensure_offset(
     Texts that already carry one, and texts that cannot be read, stay as they
     are; ``has_offset`` tells them apart afterwards.
     """
-    df = df.withColumn("__local", parse_local(F.col(column)))
-    df = localize(df, "__local", zone, "__text", fold=fold)
-    kept = F.coalesce(F.col("__text"), F.col(column))
+    c = F.col(column)
+    df = parse_local(df, column, "__local")
+    plain = F.when(
+        c.rlike(CANONICAL),
+        F.concat(F.substring(c, 1, 10), F.lit("T"), F.substring(c, 12, 8)),
+    ).otherwise(iso_seconds(F.col("__local")))
+    df = localize(df, "__local", zone, "__text", fold=fold, text=plain)
+    kept = F.coalesce(F.col("__text"), c)
     if fold == "null":
-        kept = F.when(F.col("__local").isNull(), F.col(column)).otherwise(F.col("__text"))
+        kept = F.when(F.col("__local").isNull(), c).otherwise(F.col("__text"))
     return df.withColumn(column, kept).drop("__local", "__text")
 
 
@@ -216,8 +234,8 @@ def observed_instant(observed_at: Column) -> Column:
 
 # ---- instants for the reports ----------------------------------------------
 def utc_wall(ts: Column) -> Column:
-    """UTC wall clock of an instant."""
-    return wall_clock(F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1000000))
+    """UTC wall clock of an instant, in whole seconds."""
+    return wall_clock(F.unix_seconds(ts))
 
 
 def iso_utc(ts: Column) -> Column:
@@ -227,14 +245,19 @@ def iso_utc(ts: Column) -> Column:
         micros > 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
     ).otherwise(F.lit(""))
     return F.concat(
-        iso_seconds(wall_clock(F.floor(F.unix_micros(ts) / 1000000))),
+        iso_seconds(utc_wall(ts)),
         fraction,
         F.lit("+00:00"),
     )
 
 
+def instant_in_utc(local: Column) -> Column:
+    """Instant at which a UTC clock shows ``local``, in whole seconds."""
+    return F.timestamp_seconds(epoch_minutes(local) * 60 + F.floor(F.second(local)))
+
+
 def utc_date(ts: Column) -> Column:
-    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+    return F.to_date(utc_wall(ts))
 
 
 def report_zone() -> str:
@@ -262,7 +285,7 @@ def local_text(ts: Column, zone: str) -> Column:
     """``yyyy-MM-dd HH:mm:ss ABC (UTC-05:00)`` of an instant in ``zone``."""
     seconds = F.unix_seconds(ts)
     shifted = F.unix_seconds(F.from_utc_timestamp(ts, F.lit(zone)))
-    offset = F.floor((shifted - seconds) / 60)
+    offset = _div(shifted - seconds, 60)
     name = F.lit("")
     for minutes, abbreviation in zone_abbreviations(zone).items():
         name = F.when(offset == minutes, F.lit(abbreviation)).otherwise(name)

@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.numeric import (
-    bounded,
     clip,
     coerce_double,
-    split_hour,
-    split_minute,
-    whole,
+    coerce_whole,
+    split_clock,
 )
 from obsledger.functions.text import canonical_code, null_if_na
-from obsledger.functions.timestamps import localize, safe_local_timestamp
+from obsledger.functions.timestamps import (
+    is_possible_date,
+    local_timestamp,
+    localize,
+)
 from obsledger.operators.dedupe import keep_last
 from obsledger.schema import (
     KEYS,
@@ -29,26 +31,6 @@ DOCUMENTED = "documented"
 LEGACY = "legacy"
 
 
-def clock(raw_hour: Column, raw_minute: Column) -> tuple[Column, Column]:
-    """Hour and minute from a compact hour value and a separate minute value.
-
-    The minute inside the compact value wins, then the minute column, then 0.
-    """
-    v = bounded(raw_hour)
-    hour = F.coalesce(split_hour(v), F.lit(0))
-    minute = F.coalesce(split_minute(v), whole(raw_minute), F.lit(0))
-    return hour, minute
-
-
-def is_sellout(raw_hour: Column) -> Column:
-    """Return hour that stands for "sold out": 80 or more on the raw value.
-
-    8000..9999 reads as such an hour, and so does 800000 and up; what lies
-    between is an ordinary HHMMSS time (101500 is 10:15:00).
-    """
-    return (raw_hour >= SELLOUT_RAW_HOUR) & (split_hour(bounded(raw_hour)) >= 80)
-
-
 def day_minutes(hour: Column, minute: Column) -> Column:
     """Minutes since midnight; hours clip to 0..23 and minutes to 0..59."""
     return clip(hour, 0, 23) * 60 + clip(minute, 0, 59)
@@ -59,77 +41,109 @@ def roll_over(difference: Column) -> Column:
     return F.when(difference < ROLLOVER_BELOW, difference + 1440).otherwise(difference)
 
 
-def wait_minutes(
-    raw_hour: Column,
-    raw_minute: Column,
-    return_hour: Column,
-    return_minute: Column,
+def is_sellout(raw_hour: Column, hour: Column) -> Column:
+    """Return hour that stands for "sold out": 80 or more within a raw 8000 or more.
+
+    8000..9999 holds such an hour, and so does 800000 and up; what lies between
+    is an ordinary HHMMSS time (101500 is 10:15:00).
+    """
+    return (raw_hour >= SELLOUT_RAW_HOUR) & (hour >= 80)
+
+
+def add_wait_minutes(
+    df: DataFrame,
+    out: str,
     *,
+    observed: tuple[str, Column],
+    returned: tuple[str, Column],
     sellout: str = DOCUMENTED,
-) -> Column:
-    """Minutes from the observed to the offered time, as bigint.
+) -> DataFrame:
+    """Add ``out``: minutes from the observed to the offered time, as bigint.
 
-    Both times fall on the same date, so the difference is plain arithmetic on
+    ``observed`` and ``returned`` are a raw compact hour (a column name) and a
+    whole minute. Also adds ``__hour`` and ``__minute``, the observed time.
+
+    Both times fall on one date, so their difference is plain arithmetic on
     minutes of the day. ``documented`` gives 8888 for sold-out rows; ``legacy``
-    applies the compact split twice and clips them to an ordinary time.
+    applies the compact split a second time and so clips them to an ordinary
+    time. Each step is a projection of its own, which keeps the generated code
+    small enough to be compiled.
     """
-    observed = clock(raw_hour, raw_minute)
-    returned = clock(return_hour, return_minute)
-    if sellout == LEGACY:
-        observed = clock(*[c.cast("double") for c in observed])
-        returned = clock(*[c.cast("double") for c in returned])
-    elif sellout != DOCUMENTED:
+    if sellout not in (DOCUMENTED, LEGACY):
         raise ValueError(f"unknown sell-out rule: {sellout}")
-    minutes = roll_over(day_minutes(*returned) - day_minutes(*observed))
+    df = split_clock(df, observed[0], observed[1], "__hour", "__minute")
+    df = split_clock(df, returned[0], returned[1], "__return_hour", "__return_minute")
+    hour, minute, raw = "__hour", "__minute", F.col(returned[0])
     if sellout == LEGACY:
-        return F.when(returned[0] >= SELLOUT_RAW_HOUR, SELLOUT_MINUTES).otherwise(
-            minutes
-        ).cast("bigint")
-    return F.when(is_sellout(return_hour), SELLOUT_MINUTES).otherwise(minutes).cast(
-        "bigint"
-    )
-
-
-def priority_fields(
-    raw: DataFrame, *, carried: list[str], sellout: str = DOCUMENTED
-) -> DataFrame:
-    """Entity, wall-clock time and minutes of every raw row, readable or not."""
-    fields = ["FDAY", "FMONTH", "FYEAR", "FHOUR", "FMIN", "FWINHR", "FWINMIN"]
-    df = raw.select(
-        *carried,
-        canonical_code(null_if_na(F.col("FATTID"))).alias("entity_code"),
-        *[coerce_double(F.col(c)).alias(c) for c in fields],
+        hour, minute, raw = "__hour2", "__minute2", F.col("__return_hour")
+        df = split_clock(df, "__hour", F.col("__minute"), hour, minute)
+        df = split_clock(
+            df, "__return_hour", F.col("__return_minute"), "__return_hour", "__return_minute"
+        )
+        raw = F.col("__return_hour")
+    df = df.withColumn(
+        "__difference",
+        day_minutes(F.col("__return_hour"), F.col("__return_minute"))
+        - day_minutes(F.col(hour), F.col(minute)),
     )
-    hour, minute = clock(F.col("FHOUR"), F.col("FMIN"))
-    return df.select(
-        *carried,
-        "entity_code",
-        safe_local_timestamp(
-            whole(F.col("FYEAR")),
-            whole(F.col("FMONTH")),
-            whole(F.col("FDAY")),
-            clip(hour, 0, 23),
-            clip(minute, 0, 59),
-        ).alias("observed_local"),
-        wait_minutes(
-            F.col("FHOUR"),
-            F.col("FMIN"),
-            F.col("FWINHR"),
-            F.col("FWINMIN"),
-            sellout=sellout,
-        ).alias("wait_time_minutes"),
+    sold_out = (
+        is_sellout(raw, F.col("__return_hour"))
+        if sellout == DOCUMENTED
+        else raw >= SELLOUT_RAW_HOUR
     )
+    spare = ["__difference", "__return_hour", "__return_minute"]
+    if sellout == LEGACY:
+        spare += [hour, minute]
+    return df.withColumn(
+        out,
+        F.when(sold_out, SELLOUT_MINUTES)
+        .otherwise(roll_over(F.col("__difference")))
+        .cast("bigint"),
+    ).drop(*spare)
 
 
 def readable() -> Column:
-    """An entity and a possible date are there."""
-    return F.col("entity_code").isNotNull() & F.col("observed_local").isNotNull()
+    """Raw rows that name an entity and a possible date."""
+    return null_if_na(F.col("FATTID")).isNotNull() & is_possible_date(
+        *[coerce_whole(F.col(c)) for c in ("FYEAR", "FMONTH", "FDAY")]
+    )
 
 
 def parse_priority(raw: DataFrame, *, sellout: str = DOCUMENTED) -> DataFrame:
-    """Readable priority rows; an impossible date or a missing entity drops one row."""
+    """Entity, wall-clock time and minutes of every readable priority row.
+
+    An impossible date or a missing entity drops its row alone. The filter looks
+    at raw texts: one on the parsed time would be pushed below all projections
+    and repeat them.
+    """
     carried = [c for c in (FILE, FILE_ORDER) if c in raw.columns]
-    return priority_fields(raw, carried=carried, sellout=sellout).filter(readable())
+    df = raw.filter(readable()).select(
+        *carried,
+        canonical_code(F.col("FATTID")).alias("entity_code"),
+        *[coerce_whole(F.col(c)).alias(c) for c in ("FYEAR", "FMONTH", "FDAY")],
+        *[coerce_double(F.col(c)).alias(c) for c in ("FHOUR", "FWINHR")],
+        *[coerce_whole(F.col(c)).alias(c) for c in ("FMIN", "FWINMIN")],
+    )
+    df = add_wait_minutes(
+        df,
+        "wait_time_minutes",
+        observed=("FHOUR", F.col("FMIN")),
+        returned=("FWINHR", F.col("FWINMIN")),
+        sellout=sellout,
+    )
+    observed_local = local_timestamp(
+        F.col("FYEAR"),
+        F.col("FMONTH"),
+        F.col("FDAY"),
+        clip(F.col("__hour"), 0, 23),
+        clip(F.col("__minute"), 0, 59),
+    )
+    return df.select(
+        *carried,
+        "entity_code",
+        observed_local.alias("observed_local"),
+        "wait_time_minutes",
+    )
 
 
 def collapse_priority(parsed: DataFrame) -> DataFrame:

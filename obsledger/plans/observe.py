@@ -13,7 +13,6 @@ from obsledger.operators.priority import (
     collapse_priority,
     finish_priority,
     parse_priority,
-    priority_fields,
     readable,
 )
 from obsledger.operators.standby import normalize_standby
@@ -102,12 +101,9 @@ def shifted_rows(spark: SparkSession, drops: DropSet) -> DataFrame | None:
 def undated_rows(spark: SparkSession, drops: DropSet) -> DataFrame | None:
     """Raw priority rows left out because entity or date cannot be read."""
     frames = [
-        priority_fields(
-            scan_layout(spark, layout, paths).withColumn("fields", F.to_json(F.struct("*"))),
-            carried=["fields"],
-        )
+        scan_layout(spark, layout, paths)
         .filter(~readable())
-        .select(F.lit(layout.family).alias("family"), "fields")
+        .select(F.lit(layout.family).alias("family"), F.to_json(F.struct("*")).alias("fields"))
         for layout, paths in drops.layouts.items()
         if layout.family != STANDBY
     ]

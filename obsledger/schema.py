@@ -87,9 +87,8 @@ TOP_NEEDS = 10
 HEAD_ROWS = 5
 PROBE_BYTES = 8192
 REPORT_ZONE = "America/Toronto"
-# First and last whole year a 64-bit nanosecond clock can hold.
-MIN_YEAR = 1678
-MAX_YEAR = 2261
+# Whole years on either side of 1970 that a 64-bit nanosecond clock can hold.
+CLOCK_YEARS = 291
 
 MANIFEST_SCHEMA = T.StructType(
     [

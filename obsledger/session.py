@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot does not compile methods beyond 8000 bytes: better separate
+    # operators than one interpreted stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
