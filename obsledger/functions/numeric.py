@@ -7,20 +7,18 @@ from pyspark.sql import functions as F
 
 from obsledger.schema import MAX_MINUTES
 
-# A whole number written with a decimal point, such as 7.0.
-POINT_ZERO = r"^\s*([+\-]?\d{1,15})\.0*\s*$"
+# Characters of a plain number. Spark's own cast to double also takes "5d",
+# "5f", "0x1p3", "NaN" and "Infinity", which must count as unreadable here.
+NUMBER_CHARS = r"^[\d\seE.+\-]+$"
 
 
 def coerce_double(text: Column) -> Column:
-    """Number in a text, or null. Whole numbers take the short way.
+    """Number in a text, or null.
 
-    The decimal cast reads signs, fractions and exponents, but not the "5d",
-    "5f", "NaN" and "Infinity" that a cast to double would let through.
+    The guard also keeps most unreadable texts away from the cast, which would
+    raise and catch an exception for each of them.
     """
-    return F.coalesce(
-        text.try_cast("bigint").cast("double"),
-        text.try_cast("decimal(38,18)").cast("double"),
-    )
+    return F.when(text.rlike(NUMBER_CHARS), text.try_cast("double"))
 
 
 def half_even(c: Column) -> Column:
@@ -33,12 +31,9 @@ def in_range(minutes: Column, upper: int = MAX_MINUTES) -> Column:
     return F.coalesce(minutes.between(0, upper), F.lit(False))
 
 
-def coerce_whole(text: Column) -> Column:
-    """Whole number in a text as bigint, or null; ``7.0`` is whole, ``7.5`` is not."""
-    return F.coalesce(
-        text.try_cast("bigint"),
-        F.regexp_extract(text, POINT_ZERO, 1).try_cast("bigint"),
-    )
+def whole(v: Column) -> Column:
+    """The value as bigint if it is a whole number, else null; 7.0 is, 7.5 is not."""
+    return F.when((v == F.rint(v)) & (F.abs(v) < 1e15), v).cast("bigint")
 
 
 def clip(c: Column, low: int, high: int) -> Column:

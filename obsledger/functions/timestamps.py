@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Callable
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -156,6 +157,24 @@ def _from_utc(seconds: Column, zone: Column) -> Column:
     return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(seconds), zone))
 
 
+# Columns that hold intermediate steps.
+STEPS = ("__local", "__wall", "__utc", "__back", "__clock")
+
+
+def computed_once(
+    df: DataFrame, out: str, value: Column, kept: list[str] | None = None
+) -> DataFrame:
+    """Add or replace column ``out`` so that filters on it stay above it.
+
+    A filter on a projected column is pushed below the projection with the whole
+    expression copied in; through a chain of projections the copies multiply. A
+    filter on a generator's output is not pushed, at the price of a one-element
+    array per row.
+    """
+    rest = [c for c in (df.columns if kept is None else kept) if c != out]
+    return df.select(*rest, F.explode(F.array(value)).alias(out))
+
+
 def localize(
     df: DataFrame,
     local: str,
@@ -164,6 +183,7 @@ def localize(
     *,
     fold: str = "earlier",
     text: Column | None = None,
+    result: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``out``: the wall clock in column ``local`` as ISO text with offset.
 
@@ -172,8 +192,10 @@ def localize(
     * A repeated time takes the first occurrence (``fold="earlier"``), the
       second (``"later"``) or gives null (``"null"``).
 
-    ``text`` may hold the ISO text of ``local`` if it is at hand. The steps are
-    separate projections so that each is evaluated once per row.
+    ``text`` may hold the ISO text of ``local`` if it is at hand, and ``result``
+    may turn the finished text into what ``out`` is to hold. The steps are
+    separate projections so that each is evaluated once per row, also if the
+    caller filters or joins on the result.
     """
     if fold not in ("earlier", "later", "null"):
         raise ValueError(f"unknown fold rule: {fold}")
@@ -201,9 +223,9 @@ def localize(
     df = df.withColumn(
         "__clock", F.when(back == wall, plain).when(back != wall, F.concat(*first_valid))
     )
-    return df.withColumn(
-        out, F.concat(F.col("__clock"), offset_text(_div(back - utc, 60)))
-    ).drop("__wall", "__utc", "__back", "__clock")
+    stamped = F.concat(F.col("__clock"), offset_text(_div(back - utc, 60)))
+    kept = [c for c in df.columns if c not in STEPS]
+    return computed_once(df, out, stamped if result is None else result(stamped), kept)
 
 
 def ensure_offset(
@@ -220,11 +242,15 @@ def ensure_offset(
         c.rlike(CANONICAL),
         F.concat(F.substring(c, 1, 10), F.lit("T"), F.substring(c, 12, 8)),
     ).otherwise(iso_seconds(F.col("__local")))
-    df = localize(df, "__local", zone, "__text", fold=fold, text=plain)
-    kept = F.coalesce(F.col("__text"), c)
-    if fold == "null":
-        kept = F.when(F.col("__local").isNull(), c).otherwise(F.col("__text"))
-    return df.withColumn(column, kept).drop("__local", "__text")
+
+    def finished(stamped: Column) -> Column:
+        if fold == "null":
+            return F.when(F.col("__local").isNull(), c).otherwise(stamped)
+        return F.coalesce(stamped, c)
+
+    return localize(
+        df, "__local", zone, column, fold=fold, text=plain, result=finished
+    )
 
 
 def observed_instant(observed_at: Column) -> Column:

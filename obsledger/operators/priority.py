@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from obsledger.functions.numeric import (
     clip,
     coerce_double,
-    coerce_whole,
     split_clock,
+    whole,
 )
 from obsledger.functions.text import canonical_code, null_if_na
 from obsledger.functions.timestamps import (
-    is_possible_date,
+    computed_once,
+    in_clock_range,
     local_timestamp,
     localize,
 )
@@ -102,46 +103,55 @@ def add_wait_minutes(
     ).drop(*spare)
 
 
+def _date(year: Column, month: Column, day: Column) -> Column:
+    return local_timestamp(whole(year), whole(month), whole(day), F.lit(0), F.lit(0))
+
+
+_DATE_PARTS = ["FYEAR", "FMONTH", "FDAY"]
+_CLOCK_PARTS = ["FHOUR", "FMIN", "FWINHR", "FWINMIN"]
+
+
 def readable() -> Column:
     """Raw rows that name an entity and a possible date."""
-    return null_if_na(F.col("FATTID")).isNotNull() & is_possible_date(
-        *[coerce_whole(F.col(c)) for c in ("FYEAR", "FMONTH", "FDAY")]
-    )
+    parts = [coerce_double(F.col(c)) for c in _DATE_PARTS]
+    return null_if_na(F.col("FATTID")).isNotNull() & in_clock_range(_date(*parts))
 
 
 def parse_priority(raw: DataFrame, *, sellout: str = DOCUMENTED) -> DataFrame:
     """Entity, wall-clock time and minutes of every readable priority row.
 
-    An impossible date or a missing entity drops its row alone. The filter looks
-    at raw texts: one on the parsed time would be pushed below all projections
-    and repeat them.
+    An impossible date or a missing entity drops its row alone. The date is
+    assembled once, before the filter on it.
     """
     carried = [c for c in (FILE, FILE_ORDER) if c in raw.columns]
-    df = raw.filter(readable()).select(
+    df = raw.filter(null_if_na(F.col("FATTID")).isNotNull()).select(
         *carried,
         canonical_code(F.col("FATTID")).alias("entity_code"),
-        *[coerce_whole(F.col(c)).alias(c) for c in ("FYEAR", "FMONTH", "FDAY")],
-        *[coerce_double(F.col(c)).alias(c) for c in ("FHOUR", "FWINHR")],
-        *[coerce_whole(F.col(c)).alias(c) for c in ("FMIN", "FWINMIN")],
+        *[coerce_double(F.col(c)).alias(c) for c in _DATE_PARTS + _CLOCK_PARTS],
+    )
+    df = computed_once(
+        df,
+        "__date",
+        _date(*[F.col(c) for c in _DATE_PARTS]),
+        [*carried, "entity_code", *_CLOCK_PARTS],
     )
+    df = df.filter(in_clock_range(F.col("__date")))
     df = add_wait_minutes(
         df,
         "wait_time_minutes",
-        observed=("FHOUR", F.col("FMIN")),
-        returned=("FWINHR", F.col("FWINMIN")),
+        observed=("FHOUR", whole(F.col("FMIN"))),
+        returned=("FWINHR", whole(F.col("FWINMIN"))),
         sellout=sellout,
     )
-    observed_local = local_timestamp(
-        F.col("FYEAR"),
-        F.col("FMONTH"),
-        F.col("FDAY"),
-        clip(F.col("__hour"), 0, 23),
-        clip(F.col("__minute"), 0, 59),
+    time_of_day = F.make_dt_interval(
+        F.lit(0),
+        clip(F.col("__hour"), 0, 23).cast("int"),
+        clip(F.col("__minute"), 0, 59).cast("int"),
     )
     return df.select(
         *carried,
         "entity_code",
-        observed_local.alias("observed_local"),
+        (F.col("__date") + time_of_day).alias("observed_local"),
         "wait_time_minutes",
     )
 

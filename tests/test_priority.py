@@ -11,10 +11,10 @@ RAW = ", ".join(
 DATE = ("1", "7", "2024")
 
 
-def run(spark, row, **rules):
-    raw = spark.createDataFrame([row], RAW)
+def run(spark, rows, **rules):
+    raw = spark.createDataFrame(rows, RAW)
     out = finish_priority(parse_priority(raw, **rules), "America/New_York")
-    return [tuple(r) for r in out.collect()]
+    return sorted(tuple(r) for r in out.collect())
 
 
 CASES = [
@@ -38,44 +38,44 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("case", CASES, ids=lambda c: str(c[0]))
-def test_minutes(spark, case):
-    clock, observed, documented, legacy = case
-    row = ("mk01 ", *DATE, *clock)
-    at = f"2024-07-01T{observed}:00-04:00"
-    assert run(spark, row) == [("MK01", at, "PRIORITY", documented)]
-    assert run(spark, row, sellout="legacy") == [("MK01", at, "PRIORITY", legacy)]
+@pytest.mark.parametrize("sellout,column", [("documented", 2), ("legacy", 3)])
+def test_minutes(spark, sellout, column):
+    rows = [(f" mk{i:02} ", *DATE, *case[0]) for i, case in enumerate(CASES)]
+    assert run(spark, rows, sellout=sellout) == [
+        (f"MK{i:02}", f"2024-07-01T{case[1]}:00-04:00", "PRIORITY", case[column])
+        for i, case in enumerate(CASES)
+    ]
 
 
-@pytest.mark.parametrize(
-    "date,entity",
-    [
-        (("30", "2", "2024"), "MK01"),
-        (("1", "7", None), "MK01"),
-        (("1", "7", "19"), "MK01"),
-        (("1", "13", "2024"), "MK01"),
-        (("0", "7", "2024"), "MK01"),
-        (("1.5", "7", "2024"), "MK01"),
-        (("1", "7", "99999999999"), "MK01"),
-        (DATE, None),
-        (DATE, "NaN"),
-    ],
-)
-def test_unreadable_row_is_dropped_alone(spark, date, entity):
-    bad = (entity, *date, "10", "0", "11", "0")
+UNREADABLE = [
+    (("30", "2", "2024"), "MK01"),
+    (("1", "7", None), "MK01"),
+    (("1", "7", "19"), "MK01"),
+    (("1", "13", "2024"), "MK01"),
+    (("0", "7", "2024"), "MK01"),
+    (("1.5", "7", "2024"), "MK01"),
+    (("1", "7", "99999999999"), "MK01"),
+    (("1", "7", "2024x"), "MK01"),
+    (DATE, None),
+    (DATE, "NaN"),
+]
+
+
+def test_unreadable_rows_are_dropped_alone(spark):
+    bad = [(entity, *date, "10", "0", "11", "0") for date, entity in UNREADABLE]
     good = ("MK02", "1.0", "7", "2024", "10", "0", "11", "0")
-    out = finish_priority(parse_priority(spark.createDataFrame([bad, good], RAW)), "America/New_York")
-    assert [tuple(r) for r in out.collect()] == [("MK02", "2024-07-01T10:00:00-04:00", "PRIORITY", 60)]
+    assert run(spark, [*bad, good]) == [("MK02", "2024-07-01T10:00:00-04:00", "PRIORITY", 60)]
 
 
 def test_minutes_stay_in_range(spark):
     """Every observed and returned quarter hour, against plain Python."""
     rows = [
-        ("A", *DATE, str(h * 100 + m), None, str(r), str(q))
+        ("A", *DATE, str(h), str(m), str(r), str(q))
         for h in range(24) for m in (0, 15, 59) for r in range(24) for q in (0, 1, 44, 45)
     ]
     got = parse_priority(spark.createDataFrame(rows, RAW)).collect()
+    assert len(got) == len(rows)
     for raw, row in zip(rows, got):
-        diff = int(raw[6]) * 60 + int(raw[7]) - (int(raw[4]) // 100 * 60 + int(raw[4]) % 100)
+        diff = int(raw[6]) * 60 + int(raw[7]) - int(raw[4]) * 60 - int(raw[5])
         expected = diff + 1440 if diff < -15 else diff
         assert row.wait_time_minutes == expected and -15 <= expected <= 1439
