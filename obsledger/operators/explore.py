@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.text import canonical_code, date_part, strip, year_part
-from obsledger.functions.timestamps import observed_instant
+from obsledger.functions.timestamps import computed_once, observed_instant
 from obsledger.schema import HEAD_ROWS
 
 
@@ -16,6 +16,8 @@ def latest_per_entity(facts: DataFrame) -> DataFrame:
     A maximum over text cannot live in a hash aggregate and would sort the
     whole scan, so the (entity, date) pairs are made distinct first: that is a
     hash aggregate with map-side combine and leaves one row per entity and day.
+    The optimizer would drop a distinct right below a maximum as redundant; the
+    step between them keeps it.
     """
     days = (
         facts.select(
@@ -25,8 +27,10 @@ def latest_per_entity(facts: DataFrame) -> DataFrame:
         .filter(F.col("entity_code").isNotNull() & F.col("obs_date").isNotNull())
         .distinct()
     )
-    return days.groupBy("entity_code").agg(
-        F.max("obs_date").alias("latest_observation_date")
+    return (
+        computed_once(days, "obs_date", F.col("obs_date"))
+        .groupBy("entity_code")
+        .agg(F.max("obs_date").alias("latest_observation_date"))
     )
 
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ FILES_PER_TASK = 256
 
 ReadHead = Callable[[str, int], bytes]
 
+# The probe is the only Python that runs on executors. Sent by value, it needs
+# no copy of this package there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_head(path: str, size: int) -> bytes:
     """First ``size`` bytes of a file on any store pyarrow can open."""
