@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,15 @@ class Observed:
 
     def collapsed_rows(self) -> int:
         """Rows dropped by keep-last; valid once ``rows`` has been written."""
-        return sum(o.get["collapsed"] or 0 for o in self.collapsed)
+        return sum(_counted(o) for o in self.collapsed)
+
+
+def _counted(watch: Observation) -> int:
+    """Value of a counter; where no row arrived, Spark prunes it from the plan."""
+    try:
+        return watch.get["collapsed"] or 0
+    except Py4JJavaError:
+        return 0
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -375,3 +375,21 @@ def test_sample_is_exact_and_stable(spark):
     mean = sum(r.wait_time_minutes for r in two) / 1000
     assert 4500 < mean < 5500
     assert uniform_sample(df, 1000, seed=7).collect() != two
+
+
+def test_drops_without_rows(spark, tmp_path):
+    """Header-only and all-unreadable drops: an empty version, metrics included."""
+    r = str(tmp_path / "export")
+    put(r, "fastpass_times/wdw/a.csv", f"{HEAD}\n")
+    put(r, "fastpass_times/wdw/b.csv", f"{HEAD}\nX,30,2,2024,1,1,1,1\n")
+    put(r, "wait_times/wdw/a.csv", "entity_code,observed_at,submitted_posted_time\n")
+    table = FactTable(str(tmp_path / "fact"))
+    done = build(spark, r, table, run_ts=NOW)
+    assert done.new_rows == 0 and done.collapsed_rows == 0
+    assert done.drops.files_per_family() == {"standby": 1, "priority": 2}
+    assert table.read(spark).count() == 0
+    again = update_from(spark, scan_drops(spark, r), table, listed_at=NOW,
+                        sample_path=str(tmp_path / "s"))
+    assert again.new_rows == 0 and csv_lines(tmp_path / "s") == [KEYS]
+    nothing = build(spark, str(tmp_path / "none"), FactTable(str(tmp_path / "f2")), run_ts=NOW)
+    assert nothing.new_rows == 0
