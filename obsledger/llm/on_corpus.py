@@ -16,6 +16,7 @@ from obsledger.llm.fingerprints import fingerprint_edits
 from obsledger.llm.hamming import top_k
 from obsledger.llm.jaccard import jaccard_join
 from obsledger.llm.line_dedup import drop_repeated_lines
+from obsledger.llm.line_quality import fit_on_labels, held_out, score_documents
 from obsledger.llm.mixing import mix_sources
 from obsledger.llm.secret_scans import scan_secrets
 from obsledger.llm.suffix_dedup import drop_repeated_strings
@@ -90,6 +91,15 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+@query()
+def op5_line_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_on_labels(docs, read(spark, sf_dir, "labels"))
+    return score_documents(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 @query("""
     WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
