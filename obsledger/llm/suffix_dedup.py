@@ -85,13 +85,14 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
                 at, first, last = found
                 m = len(at)
                 own = first <= last
-                # Anchors up to here belong to every window of this one, whatever surrounds it.
-                shared = np.searchsorted(at, first + length - GRAM - width + 1, "right") - 1
-                reach = np.maximum(np.minimum(shared, m - 1) - np.arange(m), 0)
+                # A window of this anchor starts less than a width before it, so anchors up to here
+                # belong to it, whatever surrounds it: equal windows have equal reach.
+                shared = np.searchsorted(at, at + length - GRAM - 2 * width + 2, "right") - 1
+                reach = shared - np.arange(m)
                 rank = np.append(phrase_hashes(sums, at), np.uint64(0))
                 end = np.where(own, last + length, first)
                 whole = _salt(span_hashes(sums, first, end), at - first, last - first)
-                ints = [pa.array(x.astype(np.int32)) for x in (np.arange(m), at, first, last, np.where(own, reach, 0))]
+                ints = [pa.array(x.astype(np.int32)) for x in (np.arange(m), at, first, last, reach)]
                 fixed = [pa.array(np.full(m, doc, np.int64)), pa.array(np.full(m, v, np.int32))]
                 arrays = [*fixed, *ints, _signed(rank), _signed(whole)]
                 if m > 1:
@@ -114,11 +115,11 @@ def doubled(anchors: DataFrame, scratch: Scratch) -> DataFrame:
         on = F.max("rank").over(
             Window.partitionBy("_doc", "_v").orderBy("i").rangeBetween(step, step)
         )
-        # Anchors at a text's end have no windows (reach 0) and only follow others.
+        # What reaches 2 x step phrases on is followed by what reaches step or more.
         paired = (
-            rows.where((F.col("reach") >= step) | (F.col("reach") == 0))
+            rows.where(F.col("reach") >= step)
             .withColumn("_on", on)
-            .where(F.col("_on").isNotNull() & ((F.col("reach") >= 2 * step) | (F.col("reach") == 0)))
+            .where(F.col("_on").isNotNull() & (F.col("reach") >= 2 * step))
             .withColumn("rank", F.xxhash64("rank", "_on"))
             .drop("_on")
         )

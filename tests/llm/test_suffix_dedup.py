@@ -88,4 +88,4 @@ def test_every_window_has_one_anchor_and_a_phrase():
             assert own == list(range(n - length + 1))
             has = np.flatnonzero(a.first <= a.last)
             assert has.max() < len(a.at) - 1 and (np.diff(a.at) <= width).all()
-            assert (a.at[has + 1] <= a.first[has] + length - 16 - width + 1).all()
+            assert (a.at[has + 1] <= a.at[has] + length - 16 - 2 * width + 2).all()
