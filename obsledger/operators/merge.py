@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from obsledger.schema import KEYS
 
 # Largest build side that may be broadcast, in bytes of its unsafe rows.
 BROADCAST_BYTES = 64 << 20
+# Ranges of a pruned read at most, and days looked at to find them.
+RANGES = 64
+MOST_DAYS = 20_000
 # One unsafe row of the four columns, without its texts: null bits, four
 # words, padding of the texts, key, and the hash relation's pointers.
 ROW_BYTES = 120
@@ -25,10 +29,34 @@ class Extent:
     bytes: int
     low: str | None
     high: str | None
+    ranges: tuple[tuple[str, str], ...] = ()
+
+
+def time_ranges(df: DataFrame) -> tuple[tuple[str, str], ...]:
+    """At most RANGES ranges of time text that hold all rows, from the days that occur.
+
+    Days are text, so an unreadable time has a range of its own and does not
+    stretch that of the others. Of more days, neighbours share a range; beyond
+    MOST_DAYS different ones (unreadable texts), nothing is said.
+    """
+    day = F.substring("observed_at", 1, 10)
+    days = (
+        df.where(F.col("observed_at").isNotNull())
+        .groupBy(day.alias("day"))
+        .agg(F.min("observed_at").alias("low"), F.max("observed_at").alias("high"))
+        .limit(MOST_DAYS + 1)
+        .collect()
+    )
+    if len(days) > MOST_DAYS:
+        return ()
+    days.sort()
+    each = -(-len(days) // RANGES) or 1
+    runs = [days[i : i + each] for i in range(0, len(days), each)]
+    return tuple((run[0].low, max(d.high for d in run)) for run in runs)
 
 
 def measure(df: DataFrame) -> Extent:
-    """Size and time range in one aggregate; run it on a stored table."""
+    """Size and time ranges; run it on a stored table."""
     texts = F.octet_length("entity_code") + F.octet_length("observed_at") + F.octet_length(
         "wait_time_type"
     )
@@ -38,17 +66,21 @@ def measure(df: DataFrame) -> Extent:
         F.min("observed_at").alias("low"),
         F.max("observed_at").alias("high"),
     ).first()
-    return Extent(row.rows, row.rows * ROW_BYTES + row.text_bytes, row.low, row.high)
+    size = row.rows * ROW_BYTES + row.text_bytes
+    return Extent(row.rows, size, row.low, row.high, time_ranges(df))
 
 
 def within(existing: DataFrame, extent: Extent) -> DataFrame:
-    """Existing rows whose time text lies in the extent's range.
+    """Existing rows whose time text lies in one of the extent's ranges.
 
     Equal keys have equal time texts, so nothing that could match is lost; the
-    two comparisons reach the Parquet scan and skip row groups and pages.
+    comparisons reach the Parquet scan and skip files, row groups and pages.
     """
     if extent.rows == 0:
         return existing.filter(F.lit(False))
+    if extent.ranges:
+        held = [F.col("observed_at").between(low, high) for low, high in extent.ranges]
+        return existing.filter(reduce(lambda a, b: a | b, held))
     return existing.filter(F.col("observed_at").between(extent.low, extent.high))
 
 

@@ -7,17 +7,18 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obsledger.operators.dedupe import distinct_rows
 from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.observe import Observed, Rules, observe
 from obsledger.schema import SAMPLE_K, SAMPLE_SEED
-from obsledger.session import new_run_id
+from obsledger.session import new_run_id, run_session
 from obsledger.sinks.publish import BUILD, publish, write_facts
 from obsledger.sinks.reports import write_sample
 from obsledger.sources.drops import DropSet, plan_drops
 from obsledger.sources.headers import ReadHead, read_head
-from obsledger.sources.manifest import scan_drops, snapshot
+from obsledger.sources.manifest import listing_session, scan_drops, snapshot
 from obsledger.sources.table import Commit, FactTable, read_facts
 
 log = logging.getLogger(__name__)
@@ -27,6 +28,10 @@ log = logging.getLogger(__name__)
 LISTING_SLACK = dt.timedelta(seconds=1)
 
 
+class EmptyListing(RuntimeError):
+    """A build found no file at all."""
+
+
 @dataclass
 class RunResult:
     """What a build or update did."""
@@ -45,6 +50,13 @@ def listing_mark(listed_at: dt.datetime | None) -> dt.datetime | None:
     return None if listed_at is None else listed_at.replace(microsecond=0) - LISTING_SLACK
 
 
+def bytes_of(manifest: DataFrame) -> int:
+    """Bytes of the listed files; 0 where the list holds paths only."""
+    if "length" not in manifest.columns:
+        return 0
+    return manifest.agg(F.sum("length")).first()[0] or 0
+
+
 def report_rejected(drops: DropSet) -> None:
     for path, problem in drops.rejected:
         log.warning("skipped %s: %s", path, problem)
@@ -73,13 +85,20 @@ def build_from(
     sample_path: str | None = None,
     sample_k: int = SAMPLE_K,
     sample_seed: int = SAMPLE_SEED,
+    allow_empty: bool = False,
 ) -> RunResult:
-    """Publish a version that holds exactly the drops of ``manifest``."""
+    """Publish a version that holds exactly the drops of ``manifest``.
+
+    A manifest without files is an error unless ``allow_empty``: a root that is
+    misspelt or not mounted must not replace a full table by an empty one.
+    """
     run_id = run_id or new_run_id()
     previous = table.commit(spark)
     drops = plan_drops(spark, manifest, zones=zones, opener=opener)
+    if not (drops.layouts or drops.rejected or allow_empty):
+        raise EmptyListing("no drops are listed: nothing to build the table from")
     report_rejected(drops)
-    observed = observe(spark, drops, rules)
+    observed = observe(run_session(spark, bytes_of(manifest)), drops, rules)
     segment = table.segment_path(run_id)
     write_facts(distinct_rows(observed.rows), segment)
     rows = read_facts(spark, segment).count()
@@ -117,6 +136,8 @@ def build(
     """
     run_id = options.pop("run_id", None) or new_run_id()
     manifest = snapshot(
-        spark, scan_drops(spark, root, properties), f"{table.staging_path(run_id)}/manifest"
+        spark,
+        scan_drops(listing_session(spark), root, properties),
+        f"{table.staging_path(run_id)}/manifest",
     )
     return build_from(spark, manifest, table, listed_at=run_ts, run_id=run_id, **options)

@@ -17,7 +17,7 @@ from obsledger.plans.update import update_from
 from obsledger.schema import DAYS_BACK
 from obsledger.session import new_run_id
 from obsledger.sinks.reports import write_needs
-from obsledger.sources.manifest import scan_drops, snapshot
+from obsledger.sources.manifest import listing_session, scan_drops, snapshot
 from obsledger.sources.needs import RUN_PREFIX
 from obsledger.sources.table import FactTable
 
@@ -57,7 +57,9 @@ def run_daily(
     out_dir = out_dir.rstrip("/")
 
     manifest = snapshot(
-        spark, scan_drops(spark, root, properties), f"{table.staging_path(run_id)}/manifest"
+        spark,
+        scan_drops(listing_session(spark), root, properties),
+        f"{table.staging_path(run_id)}/manifest",
     )
     report = freshness(
         manifest, watermark_of(spark, table), run_ts, zone=zone, days_back=days_back

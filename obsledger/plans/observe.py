@@ -47,7 +47,9 @@ def _counted(watch: Observation) -> int:
     """Value of a counter; where no row arrived, Spark prunes it from the plan."""
     try:
         return watch.get["collapsed"] or 0
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):  # an empty row of counters cannot be turned into Python
+            raise
         return 0
 
 
@@ -62,11 +64,14 @@ def observe(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> Obse
     keep-last shuffle, keyed by file, entity and time.
     """
 
+    shared = drops.shared_folder()
+
     def scan(layout: Layout, paths: list[str]) -> DataFrame:
         return scan_layout(
             spark,
             layout,
             paths,
+            shared=shared,
             ordered=layout.family != STANDBY,
             multi_line=rules.multi_line,
             ignore_missing=rules.ignore_missing,
@@ -96,10 +101,16 @@ def observe(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> Obse
     return Observed(_union(frames), collapsed)
 
 
-def shifted_rows(spark: SparkSession, drops: DropSet) -> DataFrame | None:
-    """Raw rows left out because they hold more fields than their header."""
+def _scan_options(rules: Rules) -> dict[str, bool]:
+    return {"multi_line": rules.multi_line, "ignore_missing": rules.ignore_missing}
+
+
+def shifted_rows(
+    spark: SparkSession, drops: DropSet, rules: Rules = Rules()
+) -> DataFrame | None:
+    """Raw rows left out because they hold more fields than their header, read as the run read them."""
     frames = [
-        scan_layout(spark, layout, paths, keep_extra=True).select(
+        scan_layout(spark, layout, paths, keep_extra=True, **_scan_options(rules)).select(
             F.lit(layout.family).alias("family"), F.to_json(F.struct("*")).alias("fields")
         )
         for layout, paths in drops.layouts.items()
@@ -107,10 +118,12 @@ def shifted_rows(spark: SparkSession, drops: DropSet) -> DataFrame | None:
     return _union(frames) if frames else None
 
 
-def undated_rows(spark: SparkSession, drops: DropSet) -> DataFrame | None:
-    """Raw priority rows left out because entity or date cannot be read."""
+def undated_rows(
+    spark: SparkSession, drops: DropSet, rules: Rules = Rules()
+) -> DataFrame | None:
+    """Raw priority rows left out because entity or date cannot be read, read as the run read them."""
     frames = [
-        scan_layout(spark, layout, paths)
+        scan_layout(spark, layout, paths, **_scan_options(rules))
         .filter(~readable())
         .select(F.lit(layout.family).alias("family"), F.to_json(F.struct("*")).alias("fields"))
         for layout, paths in drops.layouts.items()

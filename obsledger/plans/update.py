@@ -12,13 +12,14 @@ from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.build import (
     RunResult,
     build_from,
+    bytes_of,
     listing_mark,
     metrics_of,
     report_rejected,
 )
 from obsledger.plans.observe import Rules, observe
 from obsledger.schema import SAMPLE_K, SAMPLE_SEED
-from obsledger.session import new_run_id
+from obsledger.session import new_run_id, run_session
 from obsledger.sinks.publish import UPDATE, publish, write_facts
 from obsledger.sinks.reports import write_sample
 from obsledger.sources.drops import plan_drops
@@ -74,10 +75,11 @@ def update_from(
         )
     drops = plan_drops(spark, files, zones=zones, opener=opener)
     report_rejected(drops)
-    observed = observe(spark, drops, rules)
+    work = run_session(spark, bytes_of(files))
+    observed = observe(work, drops, rules)
     staged = f"{table.staging_path(run_id)}/candidates"
     write_facts(distinct_rows(observed.rows), staged)
-    candidates = read_facts(spark, staged)
+    candidates = read_facts(work, staged)
     extent = measure(candidates)
 
     segment = table.segment_path(run_id)
@@ -85,7 +87,7 @@ def update_from(
     if extent.rows:
         fresh = anti_join(
             candidates,
-            table.read(spark),
+            table.read(work),
             extent=extent,
             broadcast_bytes=broadcast_bytes,
         )

@@ -85,6 +85,7 @@ STALE_HOURS = 24
 VERY_STALE_HOURS = 48
 TOP_NEEDS = 10
 HEAD_ROWS = 5
+# First read of a header probe; it goes on while the header does.
 PROBE_BYTES = 8192
 REPORT_ZONE = "America/Toronto"
 # Whole years on either side of 1970 that a 64-bit nanosecond clock can hold.

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Every setting below is a size or a switch, never a row count, so the same
-# values serve a laptop and a thousand executors: AQE starts from many small
-# shuffle partitions and merges them up to the advisory size at run time.
+# values serve a laptop and a thousand executors. The number of shuffle
+# partitions is no setting: ``run_session`` takes it from the bytes of a run.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,6 +32,34 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+SHUFFLE_BYTES = 128 << 20
+"""Input bytes for each shuffle partition of a run."""
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own with this one's settings and ``settings``.
+
+    Other threads of the caller's session, such as a stream, plan as before.
+    """
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if spark.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    return own
+
+
+def shuffle_width(bytes_read: int, least: int) -> int:
+    """Shuffle partitions for so many input bytes; AQE merges what turns out small."""
+    return max(least, -(-bytes_read // SHUFFLE_BYTES))
+
+
+def run_session(spark: SparkSession, bytes_read: int) -> SparkSession:
+    """A session whose shuffles are as wide as the run's input asks for."""
+    key = "spark.sql.shuffle.partitions"
+    width = shuffle_width(bytes_read, int(spark.conf.get(key)))
+    return session_with(spark, {key: str(width)})
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 

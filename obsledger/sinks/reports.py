@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.timestamps import iso_utc, local_text
@@ -10,17 +10,34 @@ from obsledger.schema import KEYS, LATEST_COLUMNS
 
 
 def write_csv(
-    df: DataFrame, path: str, *, mode: str = "errorifexists", single_file: bool = True
+    df: DataFrame,
+    path: str,
+    *,
+    order: list[Column] | None = None,
+    mode: str = "errorifexists",
+    single_file: bool = True,
 ) -> None:
-    """CSV with header; an empty frame still gives a header-only file."""
+    """CSV with header; an empty frame still gives a header-only file.
+
+    One file is sorted in its own task, since merging sorted partitions into one
+    promises no order.
+    """
+    if order and single_file:
+        df = df.repartition(1).sortWithinPartitions(*order)
+    elif order:
+        df = df.orderBy(*order)
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def needs_rows(needs: DataFrame, zone: str) -> DataFrame:
     """Key, UTC time, local time and size of each listed file, newest first."""
+    return _needs_columns(needs.orderBy(F.desc("modificationTime"), "path"), zone)
+
+
+def _needs_columns(needs: DataFrame, zone: str) -> DataFrame:
     modified = F.col("modificationTime")
-    return needs.orderBy(modified.desc(), "path").select(
+    return needs.select(
         F.col("path").alias("s3_key"),
         iso_utc(modified).alias("last_modified_utc"),
         local_text(modified, zone).alias("last_modified_local"),
@@ -29,7 +46,8 @@ def needs_rows(needs: DataFrame, zone: str) -> DataFrame:
 
 
 def write_needs(needs: DataFrame, path: str, zone: str, *, mode: str = "errorifexists") -> None:
-    write_csv(needs_rows(needs, zone), path, mode=mode)
+    one = needs.repartition(1).sortWithinPartitions(F.desc("modificationTime"), "path")
+    write_csv(_needs_columns(one, zone), path, mode=mode)
 
 
 def write_latest(
@@ -37,8 +55,9 @@ def write_latest(
 ) -> None:
     """Latest-date report, sorted by entity."""
     write_csv(
-        latest.select(*LATEST_COLUMNS).orderBy("entity_code"),
+        latest.select(*LATEST_COLUMNS),
         path,
+        order=[F.col("entity_code")],
         mode=mode,
         single_file=single_file,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -20,7 +21,7 @@ from obsledger.sources.headers import (
     read_head,
     spread,
 )
-from obsledger.sources.manifest import route, with_zone, zone_dimension
+from obsledger.sources.manifest import escape_glob, route, with_zone, zone_dimension
 
 EXTRA_FIELD = "extra_field"
 FILE = "file"
@@ -45,6 +46,9 @@ class DropSet:
     layouts: dict[Layout, list[str]]
     rejected: list[tuple[str, str]]
 
+    def shared_folder(self) -> str:
+        return shared_folder(p for paths in self.layouts.values() for p in paths)
+
     def files_per_family(self) -> dict[str, int]:
         counts: dict[str, int] = defaultdict(int)
         for layout, paths in self.layouts.items():
@@ -63,6 +67,8 @@ def plan_drops(
 
     What reaches the driver is one short row per file, never a row of data: the
     list of paths that Spark's own file index for the read holds there anyway.
+    A file that cannot be opened, or whose store pyarrow does not know, is set
+    aside with the reason; ``opener`` may read from other stores.
     """
     files = with_zone(route(manifest), zone_dimension(spark, zones))
     probed = probe(spread(files, manifest.count()), opener)
@@ -77,16 +83,20 @@ def plan_drops(
     return DropSet(dict(layouts), rejected)
 
 
-def escape_glob(path: str) -> str:
-    """A path as a pattern that matches only itself."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+def shared_folder(paths: Iterable[str]) -> str:
+    """The folder that all of these files lie below; empty if there is none to cut."""
+    shared = os.path.commonprefix(list(paths))
+    shared = shared[: shared.rfind("/") + 1]
+    return shared if quote(shared, safe="/:@") == shared else ""
 
 
-def _shorten(path_column, paths: list[str]):
-    """Cut the folder all files share; what is left still tells files apart."""
-    shared = os.path.commonprefix(paths)
-    shared = shared[: shared.rfind("/") + 1]
-    if not shared or quote(shared, safe="/:@") != shared:
+def _shorten(path_column, shared: str):
+    """Cut the folder all files of the drop set share; what is left still tells files apart.
+
+    It must be the same folder for every layout: files of one name in different
+    folders and layouts would otherwise become one.
+    """
+    if not shared:
         return path_column
     return F.when(
         path_column.startswith(shared), F.substring(path_column, len(shared) + 1, 1 << 20)
@@ -126,6 +136,7 @@ def scan_layout(
     multi_line: bool = False,
     ignore_missing: bool = False,
     keep_extra: bool = False,
+    shared: str = "",
 ) -> DataFrame:
     """Read the files of one layout as all-string columns by canonical name.
 
@@ -154,7 +165,7 @@ def scan_layout(
     ]
     if ordered:
         columns += [
-            _shorten(F.col("_metadata.file_path"), paths).alias(FILE),
+            _shorten(F.col("_metadata.file_path"), shared).alias(FILE),
             _order_in_file(spark).alias(FILE_ORDER),
         ]
     if not headered:

@@ -1,8 +1,8 @@
 """Header probe: which column of each drop holds what.
 
 A CSV read over many files binds columns by position, so files whose headers
-differ must not share a read. The probe opens the first bytes of each file on
-the executors; files are then grouped by where the needed columns sit.
+differ must not share a read. The probe reads the first records of each file on
+the executors, however long they are; files are then grouped by where the needed columns sit.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,15 +57,19 @@ def read_head(path: str, size: int) -> bytes:
         return stream.read(size)
 
 
-def _records(head: bytes, limit: int) -> list[list[str]]:
+def _records(head: bytes, limit: int, whole: bool = True) -> list[list[str]] | None:
+    """The first records; None if ``head`` ends before they do and is not the ``whole`` file.
+
+    A record is known to be complete once another one follows it.
+    """
     text = head.decode("utf-8", errors="replace").removeprefix("﻿")
     rows: list[list[str]] = []
     for row in csv.reader(io.StringIO(text, newline="")):
         if row:
             rows.append(row)
-        if len(rows) == limit:
+        if len(rows) > limit:
             break
-    return rows
+    return rows[:limit] if whole or len(rows) > limit else None
 
 
 def _positions(names: list[str], wanted: list[str]) -> list[int]:
@@ -72,14 +77,22 @@ def _positions(names: list[str], wanted: list[str]) -> list[int]:
     return [names.index(w) if w in names else -1 for w in wanted]
 
 
-def describe(family: str | None, head: bytes) -> tuple[str | None, list[int], int, str | None]:
-    """Shape, column positions, field count and problem of one file."""
+Described = tuple[str | None, list[int], int, str | None]
+
+
+def describe(family: str | None, head: bytes, whole: bool = True) -> Described | None:
+    """Shape, column positions, field count and problem of one file.
+
+    None asks for more bytes: the records that decide go on behind ``head``.
+    """
     if family is None:
         return None, [], 0, "unknown family"
     try:
-        rows = _records(head, 2)
+        rows = _records(head, 1 if family == STANDBY else 2, whole)
     except csv.Error:
-        rows = []
+        rows = [] if whole else None
+    if rows is None:
+        return None
     if not rows:
         return None, [], 0, "no header line"
     names = [n.strip() for n in rows[0]]
@@ -97,6 +110,17 @@ def describe(family: str | None, head: bytes) -> tuple[str | None, list[int], in
     return HEADERLESS, list(range(needed)), needed, None
 
 
+def describe_file(family: str | None, path: str, opener: ReadHead) -> Described:
+    """Read twice as much again until the deciding records are there, or the whole file is."""
+    size = PROBE_BYTES
+    while True:
+        head = opener(path, size) if family else b""
+        found = describe(family, head, whole=len(head) < size)
+        if found is not None:
+            return found
+        size *= 2
+
+
 def probe(files: DataFrame, opener: ReadHead = read_head) -> DataFrame:
     """Describe every file of a routed manifest (path, family, zone).
 
@@ -109,8 +133,8 @@ def probe(files: DataFrame, opener: ReadHead = read_head) -> DataFrame:
             out = []
             for path, family, zone in zip(batch["path"], batch["family"], batch["zone"]):
                 try:
-                    found = describe(family, opener(path, PROBE_BYTES) if family else b"")
-                except OSError as error:
+                    found = describe_file(family, path, opener)
+                except (OSError, pa.ArrowException) as error:
                     found = (None, [], 0, f"unreadable: {error}")
                 out.append((path, family, zone, *found))
             yield pd.DataFrame(

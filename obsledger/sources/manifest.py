@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from contextlib import contextmanager
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from obsledger.schema import (
     PROPERTIES,
     ZONES,
 )
+from obsledger.session import session_with
 
 
 def is_path_missing(error: AnalysisException) -> bool:
@@ -24,6 +25,11 @@ def is_path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def escape_glob(path: str) -> str:
+    """A path as a pattern that matches only itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def drop_prefixes(root: str, properties: list[str] | None = None) -> list[str]:
     """Every property crossed with both families, below ``root``."""
     return [
@@ -37,7 +43,7 @@ def _prefix_glob(root: str, properties: list[str] | None) -> str:
     """All prefixes as one pattern, so that a property without drops is no error."""
     props = ",".join(PROPERTIES if properties is None else properties)
     markers = ",".join(FAMILY_MARKERS.values())
-    return f"{root.rstrip('/')}/{{{markers}}}/{{{props}}}"
+    return f"{escape_glob(root.rstrip('/'))}/{{{markers}}}/{{{props}}}"
 
 
 def scan_objects(
@@ -69,21 +75,14 @@ def scan_drops(
     return scan_objects(spark, _prefix_glob(root, properties), csv_only=csv_only)
 
 
-@contextmanager
-def _wide_splits(spark: SparkSession):
-    """Plan a listing by file count, not by bytes.
+def listing_session(spark: SparkSession) -> SparkSession:
+    """A session for listings, planned by file count and not by bytes.
 
     A listing scan is planned like a read of the files behind it: 100 TB of
     drops would become hundreds of thousands of tasks that read nothing. With
     wide splits it is one task per core.
     """
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(1 << 50))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return session_with(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)})
 
 
 def snapshot(spark: SparkSession, manifest: DataFrame, path: str) -> DataFrame:
@@ -92,8 +91,7 @@ def snapshot(spark: SparkSession, manifest: DataFrame, path: str) -> DataFrame:
     Recency, the needs list and the watermark must all come from the same
     listing; a lazy manifest would list again for each of them.
     """
-    with _wide_splits(spark):
-        manifest.sortWithinPartitions("path").write.mode("errorifexists").parquet(path)
+    manifest.sortWithinPartitions("path").write.mode("errorifexists").parquet(path)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 

@@ -19,7 +19,7 @@ def read_needs(spark: SparkSession, path: str) -> DataFrame:
     """
     df = spark.read.option("header", True).option("escape", '"').csv(path)
     if "s3_key" not in df.columns:
-        raise ValueError(f"{path} missing required column 's3_key'")
+        raise ValueError(f"no column s3_key in the needs list {path}")
     return df.select(strip(F.col("s3_key")).alias("s3_key")).filter(
         F.length("s3_key") > 0
     )

@@ -26,7 +26,7 @@ COMMIT_SCHEMA = (
 
 
 class ConflictingPublish(RuntimeError):
-    """Two runs published the same version."""
+    """Another run published this version first; the table is as that run left it."""
 
 
 @dataclass(frozen=True)
@@ -54,6 +54,9 @@ class FactTable:
     def commit_path(self) -> str:
         return f"{self.root.rstrip('/')}/commits"
 
+    def commit_file(self, version: int) -> str:
+        return f"{self.commit_path}/{version:012d}.json"
+
     def history(self, spark: SparkSession) -> DataFrame | None:
         """All commits, or None if nothing was ever published.
 
@@ -76,15 +79,11 @@ class FactTable:
             return None
         if version is not None:
             log = log.filter(F.col("version") == version)
-        # Two rows are enough to see a tie; the log has one line per run.
-        top = log.orderBy(F.desc("version")).limit(2).collect()
+        # A version is one file. Should a store let two runs write it all the
+        # same, every reader takes the same one of them.
+        top = log.orderBy(F.desc("version"), "published_us", "run_id").limit(1).collect()
         if not top:
             return None
-        if len(top) == 2 and top[0].version == top[1].version:
-            raise ConflictingPublish(
-                f"version {top[0].version} of {self.root} was published by "
-                f"{top[0].run_id} and {top[1].run_id}"
-            )
         row = top[0]
         return Commit(
             row.version,

@@ -7,15 +7,17 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from obsledger.operators.merge import Extent, anti_join, measure, merge
+from obsledger.operators.dedupe import distinct_rows
+from obsledger.operators.merge import Extent, anti_join, measure, merge, within
 from obsledger.operators.sampling import uniform_sample
-from obsledger.plans.build import build
+from obsledger.plans.build import EmptyListing, build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
 from obsledger.plans.observe import Rules, observe, shifted_rows, undated_rows
 from obsledger.plans.report import freshness, needs_processing, watermark_of
 from obsledger.plans.update import update, update_from
 from obsledger.schema import FACT_SCHEMA, KEYS
+from obsledger.session import run_session, session_with, shuffle_width
 from obsledger.sinks.publish import adopt, export, publish, restore
 from obsledger.sinks.reports import write_latest, write_needs, write_sample
 from obsledger.sources.drops import plan_drops
@@ -230,14 +232,18 @@ def test_unreadable_table_is_not_new(spark, root, tmp_path):
 
 def test_conflicting_publish_is_seen(spark, tmp_path):
     table = FactTable(str(tmp_path / "fact"))
-    for run in ("one", "two"):
-        try:
-            publish(spark, table, None, run_id=run, kind="build", segments=[],
-                    listed_at=None, published_at=NOW)
-        except ConflictingPublish:
-            assert run == "two"
-    with pytest.raises(ConflictingPublish):
-        table.commit(spark)
+    def attempt(run, previous):
+        return publish(spark, table, previous, run_id=run, kind="build", segments=[],
+                       listed_at=None, published_at=NOW)
+
+    first = attempt("one", None)
+    for _ in range(2):
+        with pytest.raises(ConflictingPublish):
+            attempt("two", None)
+    # the loser leaves the table as it was: readable, restorable, open for the next run
+    assert table.commit(spark) == first and table.read(spark).count() == 0
+    assert restore(spark, table, 1, run_id="back", at=NOW).version == 2
+    assert attempt("three", table.commit(spark)).version == 3
 
 
 def test_adopt_and_export_plain_parquet(spark, tmp_path):
@@ -391,5 +397,76 @@ def test_drops_without_rows(spark, tmp_path):
     again = update_from(spark, scan_drops(spark, r), table, listed_at=NOW,
                         sample_path=str(tmp_path / "s"))
     assert again.new_rows == 0 and csv_lines(tmp_path / "s") == [KEYS]
-    nothing = build(spark, str(tmp_path / "none"), FactTable(str(tmp_path / "f2")), run_ts=NOW)
-    assert nothing.new_rows == 0
+
+
+def test_a_missing_root_replaces_nothing(spark, root, tmp_path):
+    table = FactTable(str(tmp_path / "fact"))
+    build(spark, root, table, run_ts=NOW)
+    with pytest.raises(EmptyListing):
+        build(spark, str(tmp_path / "none"), table, run_ts=NOW)
+    assert rows(table.read(spark)) == EXPECTED
+    assert build(spark, str(tmp_path / "none"), table, run_ts=NOW, allow_empty=True).new_rows == 0
+    odd = str(tmp_path / "x[1]")
+    os.rename(root, odd)
+    assert build(spark, odd, table, run_ts=NOW).new_rows == len(EXPECTED)
+
+
+def test_equal_names_in_other_folders_and_layouts_stay_apart(spark, tmp_path):
+    r = str(tmp_path / "export")
+    put(r, "fastpass_times/wdw/2019/a.csv", f"{HEAD}\nMK01,1,7,2024,10,0,11,0\n")
+    put(r, "fastpass_times/wdw/2020/a.csv", f"{HEAD},NEW\nMK01,1,7,2024,10,0,12,0,x\n")
+    put(r, "fastpass_times/wdw/2021/a.csv", f"{HEAD}\nMK01,1,7,2024,10,0,12,30\n")
+    table = FactTable(str(tmp_path / "fact"))
+    done = build(spark, r, table, run_ts=NOW)
+    assert sorted(x[3] for x in rows(table.read(spark))) == [60, 120, 150]
+    assert done.collapsed_rows == 0
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_long_headers_are_read_whole(spark, tmp_path, first):
+    r = str(tmp_path / "export")
+    more, values = [f"column_{i:04}_{'x' * 40}" for i in range(500)], ["v"] * 500
+    join = lambda a, b: ",".join([*a, *b] if first else [*b, *a])
+    put(r, "wait_times/wdw/a.csv",
+        join(["entity_code", "observed_at", "submitted_posted_time"], more) + "\n"
+        + join(["MK01", "2024-07-01 10:00:00", "5"], values) + "\n")
+    put(r, "fastpass_times/wdw/a.csv", join(HEAD.split(","), more) + "\n"
+        + join("MK01,1,7,2024,10,0,11,0".split(","), values) + "\n")
+    put(r, "fastpass_times/wdw/b.csv", "no header " * 3000 + "\nMK02,1,7,2024,10,0,11,0\n")
+    drops = plan_drops(spark, scan_drops(spark, r))
+    assert not drops.rejected
+    assert sorted(x[3] for x in rows(observe(spark, drops).rows)) == [5, 60, 60]
+
+
+def test_segments_have_disjoint_ranges_and_updates_read_few(spark, tmp_path):
+    r = str(tmp_path / "export")
+    lines = [f"E{i % 40},2024-{1 + i % 12:02}-{1 + i % 28:02} 10:00:00,{i % 50}" for i in range(4000)]
+    put(r, "wait_times/wdw/a.csv", "entity_code,observed_at,submitted_posted_time\n" + "\n".join(lines) + "\n")
+    small = session_with(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    table = FactTable(str(tmp_path / "fact"))
+    done = build(small, r, table, run_ts=NOW)
+    parts = read_facts(spark, table.segment_path(done.commit.run_id)).groupBy(F.input_file_name().alias("f"))
+    ranges = sorted((x.low, x.high) for x in parts.agg(
+        F.min("observed_at").alias("low"), F.max("observed_at").alias("high")).collect())
+    assert len(ranges) > 4 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    new = spark.createDataFrame([("E1", "2024-03-04T09:00:00-05:00", "POSTED", 1),
+                                 ("E1", "on 2024-03-04", "POSTED", 1)], FACT_SCHEMA)
+    kept = within(table.read(spark), measure(new))
+    assert {x.observed_at[:10] for x in kept.collect()} <= {"2024-03-04"}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "2024-03-04" in plan.split("PushedFilters")[1]
+
+
+def test_width_follows_the_input(spark):
+    assert shuffle_width(100 << 40, 8) == 819_200 and shuffle_width(1, 8) == 8
+    wide = run_session(spark, 100 << 30)
+    assert wide.conf.get("spark.sql.shuffle.partitions") == "800"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert wide.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_widths_do_not_change_rows(spark, root):
+    drops = plan_drops(spark, scan_drops(spark, root))
+    for n in ("2", "500"):
+        own = session_with(spark, {"spark.sql.shuffle.partitions": n})
+        assert rows(distinct_rows(observe(own, drops).rows)) == EXPECTED
