@@ -50,7 +50,7 @@ from obsledger.operators.explore import (
     table_profile,
 )
 from obsledger.operators.freshness import distinct_days, staleness, top_needs
-from obsledger.operators.merge import anti_join, merge
+from obsledger.operators.merge import anti_join, measure, merge
 from obsledger.operators.priority import (
     LEGACY,
     add_wait_minutes,
@@ -62,10 +62,14 @@ from obsledger.operators.quality import quality
 from obsledger.operators.sampling import uniform_sample
 from obsledger.operators.standby import normalize_standby, unpivot_waits
 from obsledger.plans.build import build
-from obsledger.plans.report import needs_processing
+from obsledger.plans.daily import run_daily
+from obsledger.plans.latest import latest
+from obsledger.plans.report import freshness, needs_processing
 from obsledger.plans.update import update_from
-from obsledger.schema import KEYS, PROPERTIES
+from obsledger.schema import KEYS, PRIORITY_COLUMNS, PROPERTIES
 from obsledger.session import new_run_id, work_dir
+from obsledger.sinks.publish import adopt, restore
+from obsledger.sinks.reports import write_needs
 from obsledger.sources.drops import FILE, FILE_ORDER
 from obsledger.sources.manifest import (
     newest_first,
@@ -75,7 +79,9 @@ from obsledger.sources.manifest import (
     with_zone,
     zone_dimension,
 )
+from obsledger.sources.needs import RUN_PREFIX, newest_needs, read_needs
 from obsledger.sources.table import FactTable
+from obsledger.streaming.drops import stream_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -767,3 +773,185 @@ def update_from_drops(spark, sf_dir):
     build(spark, f"{folder}/export", facts, run_ts=now, properties=["dlr"])
     update_from(spark, scan_drops(spark, f"{folder}/export"), facts, listed_at=now)
     return facts.read(spark)
+
+
+# ---- drops of many layouts, runs, versions and reports as files -----------------------
+def write_mixed_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The same events in many layouts: mixed-case and padded headers, other orders, no headers.
+
+    Files of different layouts lie in folders of their own, so a name may occur in several.
+    """
+    plain = f"{root}/plain"
+    write_drops(spark, sf_dir, plain)
+    for prop in PROPERTIES:
+        standby = spark.read.option("header", True).csv(f"{plain}/wait_times/{prop}")
+        odd = F.pmod(F.xxhash64("entity_code"), F.lit(2)) == 1
+        even = F.pmod(F.xxhash64("Entity_Code"), F.lit(2)) == 0
+        renamed = standby.select(
+            F.lit("x").alias("note"),
+            F.col("submitted_posted_time").alias(" Submitted_POSTED_time"),
+            F.col("observed_at").alias("OBSERVED_AT "),
+            F.col("entity_code").alias("Entity_Code"),
+        )
+        for part, frame in (("a", standby.filter(odd)), ("b", renamed.filter(even))):
+            frame.write.option("header", True).csv(f"{root}/export/wait_times/{prop}/{part}")
+        priority = spark.read.option("header", True).csv(f"{plain}/fastpass_times/{prop}")
+        third = F.pmod(F.xxhash64("FATTID"), F.lit(3))
+        turned = priority.select(*[F.col(c).alias(c.lower()) for c in reversed(priority.columns)])
+        bare = priority.select(*PRIORITY_COLUMNS)
+        frames = (
+            priority.filter(third == 0),
+            turned.filter(F.pmod(F.xxhash64("fattid"), F.lit(3)) == 1),
+            bare.filter(third == 2).toDF(*[f"field {i}" for i in range(len(PRIORITY_COLUMNS))]),
+        )
+        for k, frame in enumerate(frames):
+            frame.write.option("header", True).csv(f"{root}/export/fastpass_times/{prop}/{k}")
+
+
+@query(_DROP_SQL)
+def build_mixed_layouts(spark, sf_dir):
+    folder = _run_folder(spark)
+    write_mixed_drops(spark, sf_dir, folder)
+    facts = FactTable(f"{folder}/fact")
+    build(spark, f"{folder}/export", facts, run_ts=dt.datetime.now(dt.timezone.utc))
+    return facts.read(spark)
+
+
+@query(f"""
+    SELECT 'new_rows' AS metric, count(*) AS value FROM ({_DROP_SQL})
+    UNION ALL SELECT 'collapsed_rows', 0 UNION ALL SELECT 'rejected_files', 0""")
+def run_metrics(spark, sf_dir):
+    """The counts that a build stores with its version."""
+    folder = _run_folder(spark)
+    write_drops(spark, sf_dir, f"{folder}/export")
+    facts = FactTable(f"{folder}/fact")
+    build(spark, f"{folder}/export", facts, run_ts=dt.datetime.now(dt.timezone.utc))
+    stored = facts.history(spark).select(F.explode("metrics").alias("metric", "value"))
+    return stored.filter(F.col("metric").isin("new_rows", "collapsed_rows", "rejected_files"))
+
+
+@query(_DROP_SQL)
+def daily_chain(spark, sf_dir):
+    """List, plan, merge and report in one go."""
+    folder = _run_folder(spark)
+    write_drops(spark, sf_dir, f"{folder}/export")
+    facts = FactTable(f"{folder}/fact")
+    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=1)
+    run_daily(spark, f"{folder}/export", facts, f"{folder}/out", run_ts=soon)
+    return facts.read(spark)
+
+
+@query(_DROP_SQL)
+def stream_of_drops(spark, sf_dir):
+    folder = _run_folder(spark)
+    write_drops(spark, sf_dir, f"{folder}/export")
+    facts = FactTable(f"{folder}/fact")
+    stream_updates(spark, f"{folder}/export/*/*", facts, f"{folder}/checkpoint").awaitTermination()
+    return facts.read(spark)
+
+
+@query(EVENT_FACTS)
+def restore_version(spark, sf_dir):
+    """A first version, an empty second one, and the first again."""
+    facts = FactTable(f"{_run_folder(spark)}/fact")
+    now = dt.datetime.now(dt.timezone.utc)
+    adopt(spark, facts, event_facts(spark, sf_dir), run_id="first", listed_at=None, at=now)
+    adopt(spark, facts, facts.read(spark).limit(0), run_id="second", listed_at=None, at=now)
+    restore(spark, facts, 1, run_id="third", at=now)
+    return facts.read(spark)
+
+
+@query("""
+    SELECT 'U' || user_id AS entity_code, max(strftime(ts, '%Y-%m-%d')) AS latest_observation_date
+    FROM events GROUP BY 1""")
+def latest_csv_round_trip(spark, sf_dir):
+    folder = _run_folder(spark)
+    facts = FactTable(f"{folder}/fact")
+    now = dt.datetime.now(dt.timezone.utc)
+    adopt(spark, facts, event_facts(spark, sf_dir), run_id="first", listed_at=None, at=now)
+    latest(spark, facts, f"{folder}/latest.csv")
+    return spark.read.option("header", True).csv(f"{folder}/latest.csv")
+
+
+@query(f"SELECT path AS s3_key FROM ({_MANIFEST_SQL}) WHERE m > {_MARK_SQL}")
+def needs_round_trip(spark, sf_dir):
+    """A needs list written, found as the newest of its folder and read back."""
+    folder = _run_folder(spark)
+    files = event_manifest(spark, sf_dir).withColumn("length", F.lit(1).cast("bigint"))
+    wanted = needs_processing(files, event_watermark(spark, sf_dir), RUN_TS)
+    write_needs(wanted, f"{folder}/{RUN_PREFIX}20240131.csv", NEW_YORK)
+    return read_needs(spark, newest_needs(spark, folder))
+
+
+@query(f"""
+    SELECT path, strftime(m, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS modified,
+           CASE WHEN path NOT LIKE 'current_%' OR path LIKE 'current_test_%' THEN NULL
+                WHEN m < TIMESTAMP '2024-01-31' - INTERVAL 48 HOUR THEN 'VERY_STALE'
+                WHEN m < TIMESTAMP '2024-01-31' - INTERVAL 24 HOUR THEN 'STALE' END AS staleness
+    FROM ({_MANIFEST_SQL}) WHERE m >= TIMESTAMP '2024-01-31' - INTERVAL 31 DAY""")
+def freshness_files(spark, sf_dir):
+    files = event_manifest(spark, sf_dir).withColumn("length", F.lit(1).cast("bigint"))
+    found = freshness(files, event_watermark(spark, sf_dir), RUN_TS, zone=NEW_YORK).recent
+    return found.select("path", iso_utc(F.col("modificationTime")).alias("modified"), "staleness")
+
+
+@query(f"""
+    WITH f AS ({EVENT_FACTS}), e AS (SELECT * FROM f WHERE observed_at < '2024-01-20')
+    SELECT * FROM e UNION ALL
+    (SELECT DISTINCT * FROM f EXCEPT SELECT * FROM e)""")
+def merge_large(spark, sf_dir):
+    """The merge of candidates too large to broadcast."""
+    facts = event_facts(spark, sf_dir)
+    existing, fresh = facts.filter(F.col("observed_at") < "2024-01-20"), distinct_rows(facts)
+    new = anti_join(fresh, existing, extent=measure(fresh), broadcast_bytes=0)
+    return existing.unionByName(new)
+
+
+@query(f"""
+    WITH f AS ({EVENT_FACTS}), e AS (SELECT * FROM f WHERE observed_at < '2024-01-20')
+    SELECT * FROM e UNION ALL SELECT * FROM e UNION ALL
+    (SELECT DISTINCT * FROM f EXCEPT SELECT * FROM e)""")
+def merge_keeps_copies(spark, sf_dir):
+    facts = event_facts(spark, sf_dir)
+    early = facts.filter(F.col("observed_at") < "2024-01-20")
+    return merge(early.unionByName(early), facts, extent=measure(distinct_rows(facts)))
+
+
+# ---- clock changes of 2024 in New York: +00:00 less five hours, less four from March to November
+def _clock_rows(spark: SparkSession, sf_dir: str, start: str, fold: str) -> DataFrame:
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("o_orderkey") % 180).cast("int"))
+    df = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.expr(f"timestamp_ntz'{start}'") + minutes).alias("l")
+    )
+    return localize(df, "l", NEW_YORK, "observed_at", fold=fold).select("o_orderkey", "observed_at")
+
+
+@query("""
+    WITH a AS (SELECT o_orderkey, TIMESTAMP '2024-03-10 01:00:00' + to_minutes(o_orderkey % 180) AS l FROM orders)
+    SELECT o_orderkey, CASE WHEN l < TIMESTAMP '2024-03-10 02:00:00' THEN strftime(l, '%Y-%m-%dT%H:%M:%S') || '-05:00'
+        WHEN l < TIMESTAMP '2024-03-10 03:00:00' THEN '2024-03-10T03:00:00-04:00'
+        ELSE strftime(l, '%Y-%m-%dT%H:%M:%S') || '-04:00' END AS observed_at FROM a""")
+def dst_gap(spark, sf_dir):
+    return _clock_rows(spark, sf_dir, "2024-03-10 01:00:00", "earlier")
+
+
+def _fold_sql(rule: str, repeated: str) -> str:
+    return f"""
+    SELECT '{rule}' AS rule, o_orderkey, CASE
+        WHEN l < TIMESTAMP '2024-11-03 01:00:00' THEN strftime(l, '%Y-%m-%dT%H:%M:%S') || '-04:00'
+        WHEN l < TIMESTAMP '2024-11-03 02:00:00' THEN {repeated}
+        ELSE strftime(l, '%Y-%m-%dT%H:%M:%S') || '-05:00' END AS observed_at
+    FROM (SELECT o_orderkey, TIMESTAMP '2024-11-03 00:30:00' + to_minutes(o_orderkey % 180) AS l FROM orders)"""
+
+
+@query(" UNION ALL ".join([
+    _fold_sql("earlier", "strftime(l, '%Y-%m-%dT%H:%M:%S') || '-04:00'"),
+    _fold_sql("later", "strftime(l, '%Y-%m-%dT%H:%M:%S') || '-05:00'"),
+    _fold_sql("null", "NULL"),
+]))
+def dst_fold(spark, sf_dir):
+    frames = [
+        _clock_rows(spark, sf_dir, "2024-11-03 00:30:00", rule).select(F.lit(rule).alias("rule"), "*")
+        for rule in ("earlier", "later", "null")
+    ]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
