@@ -17,9 +17,9 @@ from obsledger.session import new_run_id, run_session
 from obsledger.sinks.publish import BUILD, publish, write_facts
 from obsledger.sinks.reports import write_sample
 from obsledger.sources.drops import DropSet, plan_drops
-from obsledger.sources.headers import ReadHead, read_head
+from obsledger.sources.headers import UNREADABLE, ReadHead, read_head
 from obsledger.sources.manifest import listing_session, scan_drops, snapshot
-from obsledger.sources.table import Commit, FactTable, read_facts
+from obsledger.sources.table import QUARANTINE_SCHEMA, Commit, FactTable, read_facts
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +42,7 @@ class RunResult:
     collapsed_rows: int
 
     def rejected_files(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.drops.rejected, "path string, problem string")
+        return spark.createDataFrame(self.drops.rejected, QUARANTINE_SCHEMA)
 
 
 def listing_mark(listed_at: dt.datetime | None) -> dt.datetime | None:
@@ -57,9 +57,19 @@ def bytes_of(manifest: DataFrame) -> int:
     return manifest.agg(F.sum("length")).first()[0] or 0
 
 
-def report_rejected(drops: DropSet) -> None:
-    for path, problem in drops.rejected:
-        log.warning("skipped %s: %s", path, problem)
+def set_aside(spark: SparkSession, table: FactTable, run_id: str, drops: DropSet) -> None:
+    """Store the files that this run cannot read, with the reason, before it publishes."""
+    if not drops.rejected:
+        return
+    rejected = spark.createDataFrame(drops.rejected, QUARANTINE_SCHEMA)
+    rejected.coalesce(1).write.parquet(table.quarantine_path(run_id))
+    log.warning("%d files set aside in %s", len(drops.rejected), table.quarantine_path(run_id))
+
+
+def to_retry(spark: SparkSession, table: FactTable) -> DataFrame:
+    """Paths that the newest run could not open; a later run may."""
+    kept = table.quarantine(spark)
+    return kept.filter(F.col("problem").startswith(UNREADABLE)).select("path")
 
 
 def metrics_of(drops: DropSet, observed: Observed, new_rows: int) -> dict[str, int]:
@@ -97,7 +107,7 @@ def build_from(
     drops = plan_drops(spark, manifest, zones=zones, opener=opener)
     if not (drops.layouts or drops.rejected or allow_empty):
         raise EmptyListing("no drops are listed: nothing to build the table from")
-    report_rejected(drops)
+    set_aside(spark, table, run_id, drops)
     observed = observe(run_session(spark, bytes_of(manifest)), drops, rules)
     segment = table.segment_path(run_id)
     write_facts(distinct_rows(observed.rows), segment)

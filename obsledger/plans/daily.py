@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from obsledger.functions.timestamps import report_zone, run_stamp
-from obsledger.plans.build import RunResult
+from obsledger.plans.build import RunResult, to_retry
 from obsledger.plans.latest import latest
 from obsledger.plans.report import Freshness, freshness, watermark_of
 from obsledger.plans.update import update_from
@@ -67,9 +67,10 @@ def run_daily(
     needs_path = f"{out_dir}/{RUN_PREFIX}{run_stamp(run_ts)}.csv"
     write_needs(report.needs, needs_path, zone)
 
-    done = update_from(
-        spark, report.needs, table, listed_at=run_ts, run_id=run_id, **options
-    )
+    # Files that the last run could not open lie behind its watermark: read them again.
+    again = manifest.join(to_retry(spark, table), "path", "left_semi")
+    files = report.needs.unionByName(again).distinct()
+    done = update_from(spark, files, table, listed_at=run_ts, run_id=run_id, **options)
     written = done is not None and latest(spark, table, f"{out_dir}/latest_obs_report.csv")
     elapsed = time.perf_counter() - started
     log.info("daily run finished in %.1f min", elapsed / 60)

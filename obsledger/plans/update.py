@@ -15,7 +15,7 @@ from obsledger.plans.build import (
     bytes_of,
     listing_mark,
     metrics_of,
-    report_rejected,
+    set_aside,
 )
 from obsledger.plans.observe import Rules, observe
 from obsledger.schema import SAMPLE_K, SAMPLE_SEED
@@ -74,7 +74,7 @@ def update_from(
             sample_seed=sample_seed,
         )
     drops = plan_drops(spark, files, zones=zones, opener=opener)
-    report_rejected(drops)
+    set_aside(spark, table, run_id, drops)
     work = run_session(spark, bytes_of(files))
     observed = observe(work, drops, rules)
     staged = f"{table.staging_path(run_id)}/candidates"

@@ -30,6 +30,7 @@ from obsledger.schema import (
 
 HEADERED = "headered"
 HEADERLESS = "headerless"
+UNREADABLE = "unreadable"
 PROBED = (
     "path string, family string, zone string, "
     "shape string, positions array<int>, width int, problem string"
@@ -135,7 +136,7 @@ def probe(files: DataFrame, opener: ReadHead = read_head) -> DataFrame:
                 try:
                     found = describe_file(family, path, opener)
                 except (OSError, pa.ArrowException) as error:
-                    found = (None, [], 0, f"unreadable: {error}")
+                    found = (None, [], 0, f"{UNREADABLE}: {error}")
                 out.append((path, family, zone, *found))
             yield pd.DataFrame(
                 out,

@@ -25,6 +25,9 @@ COMMIT_SCHEMA = (
 )
 
 
+QUARANTINE_SCHEMA = "path string, problem string"
+
+
 class ConflictingPublish(RuntimeError):
     """Another run published this version first; the table is as that run left it."""
 
@@ -50,6 +53,22 @@ class FactTable:
     def staging_path(self, run_id: str) -> str:
         return f"{self.root.rstrip('/')}/staging/{run_id}"
 
+    def quarantine_path(self, run_id: str) -> str:
+        return f"{self.root.rstrip('/')}/quarantine/{run_id}"
+
+    def quarantine(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
+        """(path, problem) of the files that a run, by default the newest, set aside."""
+        if run_id is None:
+            found = self.commit(spark)
+            run_id = None if found is None else found.run_id
+        if run_id is not None:
+            try:
+                return spark.read.schema(QUARANTINE_SCHEMA).parquet(self.quarantine_path(run_id))
+            except AnalysisException as error:
+                if not is_path_missing(error):
+                    raise
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+
     @property
     def commit_path(self) -> str:
         return f"{self.root.rstrip('/')}/commits"

@@ -21,6 +21,7 @@ from obsledger.session import run_session, session_with, shuffle_width
 from obsledger.sinks.publish import adopt, export, publish, restore
 from obsledger.sinks.reports import write_latest, write_needs, write_sample
 from obsledger.sources.drops import plan_drops
+from obsledger.sources.headers import read_head
 from obsledger.sources.manifest import scan_drops, scan_objects, timestamp_literal
 from obsledger.sources.needs import newest_needs, read_needs, resolve_keys
 from obsledger.sources.table import ConflictingPublish, FactTable, parquet_modified, read_facts
@@ -343,6 +344,25 @@ def test_daily_run(spark, root, tmp_path):
     assert day3.update.new_rows == 1 and table.read(spark).count() == len(EXPECTED) + 1
 
 
+def test_files_that_could_not_be_opened_are_read_next_time(spark, root, tmp_path):
+    table, out = FactTable(str(tmp_path / "fact")), str(tmp_path / "out")
+
+    def failing(path, size):
+        if path.endswith("posted_only.csv"):
+            raise OSError("store is away")
+        return read_head(path, size)
+
+    now = dt.datetime.now(UTC) + dt.timedelta(seconds=5)
+    first = run_daily(spark, root, table, out, run_ts=now, opener=failing)
+    assert first.update.new_rows == len(EXPECTED) - 1
+    stored = {os.path.basename(r.path): r.problem for r in table.quarantine(spark).collect()}
+    assert stored == {"bad.csv": "missing columns", "narrow.csv": "too few columns",
+                      "posted_only.csv": "unreadable: store is away"}
+    second = run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=30))
+    assert second.update.new_rows == 1 and rows(table.read(spark)) == EXPECTED
+    assert run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=60)).update is None
+
+
 def test_update_from_stored_list(spark, root, tmp_path):
     table = FactTable(str(tmp_path / "fact"))
     listed = put(str(tmp_path), "needs.csv", "s3_key\nwait_times/wdw/a.csv\nwait_times/wdw/gone.csv\n")
