@@ -187,8 +187,9 @@ class _Join:
         )
         texts = self.docs.select(F.col(self.id_col).cast("bigint").alias("_node"), F.col(self.text_col).alias("_text"))
         other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+        # Candidates grow with the texts, so their side is never broadcast.
         dealt = (
-            placed.join(texts, "_node")
+            placed.hint("merge").join(texts, "_node")
             .withColumn("_other", other)
             .withColumn("_i", F.least("_block", "_other"))
             .withColumn("_j", F.greatest("_block", "_other"))
