@@ -16,9 +16,10 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 BLOCK_SHINGLES = 1 << 17
-BLOCK_ROWS = 1024
-"""A group of candidates beyond these sizes is cut into blocks, and every two blocks are compared
-in a task of their own, so a task's memory does not grow with the group."""
+LEAST_ROWS, BLOCK_ROWS = 128, 1024
+"""A group of candidates is cut into blocks of at most so many shingles, and of as many rows as the square root of the
+group's, between these bounds. Every two blocks are compared in a task of their own, so a task's memory does not grow
+with the group, and a row is copied about as often as a block has rows."""
 COLUMNS = 2048
 
 SETS = T.StructType(
@@ -175,11 +176,10 @@ class _Join:
         members = self.scratch.keep(
             self.candidates().join(self.reps.select("_node", "_copies", "_n"), "_node"), "members"
         )
+        rows = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(LEAST_ROWS), F.sqrt(F.count("*"))))
         sizes = members.groupBy("_group").agg(
-            F.ceil(
-                F.greatest(F.sum("_n") / BLOCK_SHINGLES, F.count("*") / BLOCK_ROWS)
-            ).cast("int").alias("_blocks")
-        )
+            F.ceil(F.greatest(F.sum("_n") / BLOCK_SHINGLES, F.count("*") / rows)).cast("int").alias("_blocks")
+        )
         placed = (
             members.join(sizes, "_group")
             .withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))

@@ -68,6 +68,7 @@ def test_links_and_classes_like_brute_force(spark):
 
 def test_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(jaccard, "LEAST_ROWS", 2)
     rows = made(5)
     assert collected(jaccard_join(documents(spark, rows))) == brute(rows)
 
