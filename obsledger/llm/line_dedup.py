@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.llm.tables import Scratch
+
 STRIPPED = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -33,7 +35,7 @@ def drop_repeated_lines(
     it, with all its occurrences there, and goes elsewhere; other lines stay in
     their order.
 
-    Only ids and hashes are shuffled to count; a key is combined per task
+    Only ids and hashes are shuffled to count, and written once; a key is combined per task
     first, so a line of a third of all documents is no hot group. A null or
     empty text is one empty line, and the text that comes out is never null.
     Rows of one id are one document. A row without id is compared with
@@ -49,12 +51,17 @@ def drop_repeated_lines(
         .select("_doc", key_hash(F.col("_key")).alias("_hash"))
         .distinct()
     )
+    # Both sides of the join below are read from written tables, so that each has an exchange
+    # of its own and Spark can split the rows of a line that very many documents hold.
+    scratch = Scratch(docs.sparkSession, "lines")
+    held = scratch.keep(held, "held")
     repeated = (
         held.groupBy("_hash")
         .agg(F.count("*").alias("_docs"), F.min("_doc").alias("_first"))
         .where(F.col("_docs") >= min_docs)
         .select("_hash", "_first")
     )
+    repeated = scratch.keep(repeated, "repeated")
     drops = (
         held.join(repeated, "_hash")
         .where(F.col("_doc") != F.col("_first"))
