@@ -107,7 +107,8 @@ def top_k(
             (distance == F.col("_worst")) & (F.get("ids", F.lit(0)) <= F.col("_last"))
         )
         hit = (F.col("segment") == F.col("_segment")) & (F.col("value") == F.col("_value"))
-        found = probes.join(index, hit & first & beats)
+        # A query has thousands of probes, which Spark does not foresee: they must not be broadcast.
+        found = probes.hint("merge").join(index, hit & first & beats)
         found = found.select(*q, distance.alias("distance"), F.explode("ids").alias("id"))
         if best is not None:
             found = found.unionByName(best.select(*q, "distance", "id"))
