@@ -75,3 +75,23 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert scan_secrets(documents(spark, [])).count() == 0
+
+
+def test_random_strings_beside_words_and_fixed_spans(spark):
+    words, keys = "/services/production/database/credentials/", random.Random(5)
+    made = lambda alphabet, n: "".join(keys.choice(alphabet) for _ in range(n))
+    mixed = [words + made(string.ascii_letters + string.digits, n) for n in (16, 20, 24, 32) for _ in range(20)]
+    letters = [made(string.ascii_letters, 32) for _ in range(20)]
+    plain = [words, "a_b_c_d_e_f_g_h_i_j_k_l", "-+" * 20, "org/apache/catalyst/expressions/GenerateUnsafeProjection"]
+    glued = [made(string.ascii_letters + string.digits, 20) + "Z" + "deadbeef" * 3]
+    texts = mixed + letters + plain + glued
+    got = spans(scan_secrets(documents(spark, list(enumerate(texts)))))
+    for i, text in enumerate(texts):
+        found = [s for s in got[i] if s[0] == "random"]
+        if text in plain:
+            assert not found
+        elif text in glued:
+            assert found == [("random", 0, 21)]
+        else:
+            start = len(words) if text in mixed else 0
+            assert any(a <= start and b == len(text) for _, a, b in found), text
