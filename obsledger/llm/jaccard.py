@@ -25,6 +25,7 @@ COLUMNS = 2048
 SETS = T.StructType(
     [
         T.StructField("_doc", T.LongType()),
+        T.StructField("_hash", T.LongType()),
         T.StructField("_set", T.StringType()),
         T.StructField("_n", T.IntegerType()),
         T.StructField("_bands", T.ArrayType(T.LongType())),
@@ -48,11 +49,12 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, r
             ids = batch.column(batch.schema.get_field_index(id_col)).cast(pa.int64())
             flat = pa.array(np.concatenate(found), pa.int64())
             offsets = pa.array(np.arange(len(found) + 1) * bands, pa.int32())
-            return [ids, pa.array(names), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, flat)]
+            hashes = batch.column(batch.schema.get_field_index("_hash"))
+            return [ids, hashes, pa.array(names), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, flat)]
 
         return columns
 
-    return map_rows(docs.select(id_col, text_col), SETS, make)
+    return map_rows(docs.select(id_col, text_col, F.xxhash64(text_col).alias("_hash")), SETS, make)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -100,7 +102,12 @@ PAIRS = T.StructType(
     [T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("similarity", T.DoubleType())]
 )
 LINKS = T.StructType(
-    [T.StructField("node", T.LongType()), T.StructField("low", T.LongType()), T.StructField("links", T.LongType())]
+    [
+        T.StructField("_set", T.StringType()),
+        T.StructField("node", T.LongType()),
+        T.StructField("low", T.LongType()),
+        T.StructField("links", T.LongType()),
+    ]
 )
 
 
@@ -131,7 +138,8 @@ def _verify(threshold: float, words: int, pairs: bool):
         keep = linked.any(axis=1)
         low = smallest_linked(nodes, linked)
         links = linked @ copies
-        out = [pa.array(nodes[keep]), pa.array(low[keep]), pa.array(links[keep].astype(np.int64))]
+        names = table.column("_set").combine_chunks().filter(pa.array(keep))
+        out = [names, pa.array(nodes[keep]), pa.array(low[keep]), pa.array(links[keep].astype(np.int64))]
         return pa.Table.from_arrays(out, names=LINKS.fieldNames())
 
     return run
@@ -150,31 +158,41 @@ class _Join:
             self.sets.where(F.col("_doc").isNotNull())
             .groupBy("_set")
             .agg(
-                F.min("_doc").alias("_node"),
+                F.min(F.struct("_doc", "_hash")).alias("_row"),
                 F.count("*").alias("_copies"),
                 F.first("_n").alias("_n"),
                 F.first("_bands").alias("_bands"),  # equal sets have equal bands
+            )
+            # The id may stand for several sets; _hash tells which of its texts has this one.
+            .select(
+                "_set",
+                F.xxhash64("_set").alias("_key"),
+                F.col("_row._doc").alias("_node"),
+                F.col("_row._hash").alias("_hash"),
+                "_copies",
+                "_n",
+                "_bands",
             ),
             "representatives",
         )
 
     def candidates(self) -> DataFrame:
-        """(_node, _group): representatives that share a band, directly or through others."""
-        banded = self.reps.where("_n > 0").select("_node", F.explode("_bands").alias("_band"))
+        """(_key, _group): representatives that share a band, directly or through others."""
+        banded = self.reps.where("_n > 0").select("_node", "_key", F.explode("_bands").alias("_band"))
         buckets = (
             banded.groupBy("_band")
-            .agg(F.min("_node").alias("_lead"), F.count("*").alias("_held"))
+            .agg(F.min(F.struct("_node", "_key")).alias("_first"), F.count("*").alias("_held"))
             .where("_held > 1")
-            .drop("_held")
+            .select("_band", F.col("_first._key").alias("_lead"))
         )
         # To the bucket's first member only: a bucket of n rows gives n - 1 edges.
-        edges = banded.join(buckets, "_band").select(F.col("_lead").alias("a"), F.col("_node").alias("b"))
+        edges = banded.join(buckets, "_band").select(F.col("_lead").alias("a"), F.col("_key").alias("b"))
         found = components(edges, self.scratch, "candidates")
-        return found.select(F.col("node").alias("_node"), F.col("component").alias("_group"))
+        return found.select(F.col("node").alias("_key"), F.col("component").alias("_group"))
 
     def verified(self, pairs: bool) -> DataFrame:
         members = self.scratch.keep(
-            self.candidates().join(self.reps.select("_node", "_copies", "_n"), "_node"), "members"
+            self.candidates().join(self.reps.drop("_bands"), "_key"), "members"
         )
         rows = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(LEAST_ROWS), F.sqrt(F.count("*"))))
         sizes = members.groupBy("_group").agg(
@@ -182,23 +200,42 @@ class _Join:
         )
         placed = (
             members.join(sizes, "_group")
-            .withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+            .withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))
             .drop("_n")
         )
-        texts = self.docs.select(F.col(self.id_col).cast("bigint").alias("_node"), F.col(self.text_col).alias("_text"))
+        text = F.col(self.text_col)
+        texts = self.docs.select(
+            F.col(self.id_col).cast("bigint").alias("_node"), F.xxhash64(text).alias("_hash"), text.alias("_text")
+        )
+        # One text for each representative: repeated rows go before the shuffle.
+        texts = texts.where("_node is not null").dropDuplicates(["_node", "_hash"])
         other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
         # Candidates grow with the texts, so their side is never broadcast.
         dealt = (
-            placed.hint("merge").join(texts, "_node")
+            placed.hint("merge").join(texts, ["_node", "_hash"])
             .withColumn("_other", other)
             .withColumn("_i", F.least("_block", "_other"))
             .withColumn("_j", F.greatest("_block", "_other"))
-            .select("_group", "_i", "_j", "_block", "_node", "_copies", "_text")
+            .select("_group", "_i", "_j", "_block", "_set", "_node", "_copies", "_text")
         )
         check = _verify(self.threshold, self.words, pairs)
         return dealt.groupBy("_group", "_i", "_j").applyInArrow(check, PAIRS if pairs else LINKS)
 
 
+    def of_one_id(self) -> DataFrame:
+        """(a, b): ids that hold several sets, each with the representatives of these."""
+        held = self.sets.where("_doc is not null").select("_doc", "_set", F.xxhash64("_set").alias("_key"))
+        several = held.groupBy("_doc").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"))
+        several = several.where("_low <> _high").select("_doc")
+        return (
+            held.join(several, "_doc", "left_semi")
+            .select("_doc", "_set")
+            .distinct()
+            .join(self.reps.select("_set", "_node"), "_set")
+            .select(F.col("_doc").alias("a"), F.col("_node").alias("b"))
+        )
+
+
 def jaccard_pairs(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -228,7 +265,7 @@ def jaccard_join(
 
     Two documents are linked if the Jaccard similarity of their sets of
     ``words``-word shingles is ``threshold`` or more. n_links counts a document's
-    linked documents, copies included; class_id is the smallest id that links lead to.
+    linked documents, copies and repeated rows included; class_id is the smallest id that links lead to.
 
     Equal sets are one representative with a count. Bands and rows are chosen so that a pair at the
     threshold shares a band with probability ``recall``. Band
@@ -244,14 +281,13 @@ def jaccard_join(
     """
     join = _Join(docs, threshold, words, recall, id_col, text_col)
     links = join.scratch.keep(join.verified(pairs=False), "links")
-    classes = components(
-        links.select(F.col("node").alias("a"), F.col("low").alias("b")), join.scratch, "classes"
-    ).select(F.col("node").alias("_node"), "component")
-    counts = links.groupBy(F.col("node").alias("_node")).agg(F.sum("links").alias("_links"))
+    edges = links.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(join.of_one_id())
+    classes = components(edges, join.scratch, "classes").select(F.col("node").alias("_node"), "component")
+    counts = links.groupBy("_set").agg(F.sum("links").alias("_links"))
     reps = (
         join.reps.select("_set", "_node", "_copies")
         .join(classes, "_node", "left")
-        .join(counts, "_node", "left")
+        .join(counts, "_set", "left")
         .select(
             "_set",
             F.coalesce("component", "_node").alias("class_id"),

@@ -111,3 +111,26 @@ def test_intersections():
     sets = [np.unique(np.random.default_rng(i).integers(0, 60, 40)).astype(np.uint64) for i in range(9)]
     got = shared_counts(sets[:5], sets[3:])
     assert (got == [[len(set(a) & set(b)) for b in sets[3:]] for a in sets[:5]]).all()
+
+
+def test_repeated_rows_count_once_each(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = (" ".join(w) for w in (words, [*words[:-1], "x"], [f"v{i}" for i in range(60)]))
+    rows = [(1, a), (1, a), (2, b)]
+    assert collected(jaccard_join(documents(spark, rows))) == brute(rows) == [(1, 1, 2), (1, 1, 2), (2, 1, 2)]
+    # Ids of several texts: near each other, and one whose other text has a smaller representative.
+    rows = [(4, a), (4, b), (4, a), (5, b), (6, b), (6, c), (6, c), (7, c)]
+    got = collected(jaccard_join(documents(spark, rows)))
+    assert sorted((i, n) for i, _, n in got) == sorted((i, n) for i, _, n in brute(rows))
+    assert {k for _, k, _ in got} == {4}
+
+
+def test_one_text_reaches_the_blocks_for_each_representative(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join([*words[:-1], "x"])
+    rows = [(1, a)] * 500 + [(2, b)]
+    join = jaccard._Join(documents(spark, rows), 0.8, 5, 0.999, "doc_id", "text")
+    names = jaccard.LINKS.fieldNames()
+    through = lambda t: t.select(["_set", "_node", "_node", "_copies"]).rename_columns(names)
+    monkeypatch.setattr(jaccard, "_verify", lambda *_: through)
+    assert sorted((r.node, r.links) for r in join.verified(pairs=False).collect()) == [(1, 500), (2, 1)]
