@@ -17,7 +17,7 @@ from obsledger.session import new_run_id, run_session
 from obsledger.sinks.publish import BUILD, publish, write_facts
 from obsledger.sinks.reports import write_sample
 from obsledger.sources.drops import DropSet, plan_drops
-from obsledger.sources.headers import UNREADABLE, ReadHead, read_head
+from obsledger.sources.headers import ReadHead, read_head
 from obsledger.sources.manifest import listing_session, scan_drops, snapshot
 from obsledger.sources.table import QUARANTINE_SCHEMA, Commit, FactTable, read_facts
 
@@ -57,19 +57,29 @@ def bytes_of(manifest: DataFrame) -> int:
     return manifest.agg(F.sum("length")).first()[0] or 0
 
 
-def set_aside(spark: SparkSession, table: FactTable, run_id: str, drops: DropSet) -> None:
-    """Store the files that this run cannot read, with the reason, before it publishes."""
-    if not drops.rejected:
-        return
-    rejected = spark.createDataFrame(drops.rejected, QUARANTINE_SCHEMA)
-    rejected.coalesce(1).write.parquet(table.quarantine_path(run_id))
-    log.warning("%d files set aside in %s", len(drops.rejected), table.quarantine_path(run_id))
+def set_aside(
+    spark: SparkSession,
+    table: FactTable,
+    run_id: str,
+    drops: DropSet,
+    files: DataFrame | None = None,
+) -> None:
+    """Store the files that this run cannot read, with the reason, before it publishes.
+
+    A run over ``files`` adds to the table: what could not be opened before and is
+    not among them stays open, and is stored again.
+    """
+    kept = spark.createDataFrame(drops.rejected, QUARANTINE_SCHEMA)
+    if files is not None:
+        kept = kept.unionByName(table.unopened(spark).join(files.select("path"), "path", "left_anti"))
+    table.set_aside(spark, run_id, kept)
+    if drops.rejected:
+        log.warning("%d files set aside in %s", len(drops.rejected), table.quarantine_path(run_id))
 
 
 def to_retry(spark: SparkSession, table: FactTable) -> DataFrame:
-    """Paths that the newest run could not open; a later run may."""
-    kept = table.quarantine(spark)
-    return kept.filter(F.col("problem").startswith(UNREADABLE)).select("path")
+    """Paths that could not be opened and have not been read since; a later run may."""
+    return table.unopened(spark).select("path")
 
 
 def metrics_of(drops: DropSet, observed: Observed, new_rows: int) -> dict[str, int]:

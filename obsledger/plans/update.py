@@ -74,7 +74,7 @@ def update_from(
             sample_seed=sample_seed,
         )
     drops = plan_drops(spark, files, zones=zones, opener=opener)
-    set_aside(spark, table, run_id, drops)
+    set_aside(spark, table, run_id, drops, files)
     work = run_session(spark, bytes_of(files))
     observed = observe(work, drops, rules)
     staged = f"{table.staging_path(run_id)}/candidates"

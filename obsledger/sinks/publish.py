@@ -103,6 +103,9 @@ def restore(
     wanted = table.commit(spark, version)
     if wanted is None:
         raise ValueError(f"{table.root} has no version {version}")
+    # Open are the files that either version could not open.
+    still = table.unopened(spark).unionByName(table.unopened(spark, wanted.run_id))
+    table.set_aside(spark, run_id, still.dropDuplicates(["path"]))
     return publish(
         spark,
         table,
@@ -128,6 +131,7 @@ def adopt(
     """Take over rows of a plain Parquet table, copies included, as a new version."""
     previous = table.commit(spark)
     write_facts(facts, table.segment_path(run_id))
+    table.set_aside(spark, run_id, table.unopened(spark))
     return publish(
         spark,
         table,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.schema import FACT_SCHEMA, KEYS
+from obsledger.sources.headers import UNREADABLE
 from obsledger.sources.manifest import is_path_missing, scan_objects
 
 COMMIT_SCHEMA = (
@@ -69,6 +70,15 @@ class FactTable:
                     raise
         return spark.createDataFrame([], QUARANTINE_SCHEMA)
 
+    def unopened(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
+        """Of the files set aside, those that could not be opened."""
+        return self.quarantine(spark, run_id).filter(F.col("problem").startswith(UNREADABLE))
+
+    def set_aside(self, spark: SparkSession, run_id: str, kept: DataFrame) -> None:
+        """Store (path, problem) rows for a run that is about to publish; nothing if there are none."""
+        if not kept.isEmpty():
+            kept.coalesce(1).write.parquet(self.quarantine_path(run_id))
+
     @property
     def commit_path(self) -> str:
         return f"{self.root.rstrip('/')}/commits"

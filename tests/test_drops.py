@@ -363,6 +363,42 @@ def test_files_that_could_not_be_opened_are_read_next_time(spark, root, tmp_path
     assert run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=60)).update is None
 
 
+def test_files_stay_open_over_other_publishes(spark, root, tmp_path):
+    table, out = FactTable(str(tmp_path / "fact")), str(tmp_path / "out")
+
+    def failing(path, size):
+        if path.endswith("posted_only.csv"):
+            raise OSError("store is away")
+        return read_head(path, size)
+
+    now = dt.datetime.now(UTC) + dt.timedelta(seconds=5)
+    run_daily(spark, root, table, out, run_ts=now, opener=failing)
+    other = spark.createDataFrame([(f"file:{root}/wait_times/wdw/a.csv",)], "path string")
+    update_from(spark, other, table, listed_at=None)
+    restore(spark, table, 1, run_id="back", at=now)
+    adopt(spark, table, table.read(spark), run_id="taken", listed_at=table.watermark(spark), at=now)
+    later = run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=30))
+    assert later.update.new_rows == 1 and rows(table.read(spark)) == EXPECTED
+    assert run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=60)).update is None
+
+
+def test_files_that_a_stream_could_not_open_are_read_by_the_next_daily_run(spark, root, tmp_path):
+    table, out = FactTable(str(tmp_path / "fact")), str(tmp_path / "out")
+
+    def failing(path, size):
+        if path.endswith("late.csv"):
+            raise OSError("store is away")
+        return read_head(path, size)
+
+    now = dt.datetime.now(UTC) + dt.timedelta(seconds=5)
+    run_daily(spark, root, table, out, run_ts=now)
+    put(root, "wait_times/wdw/late.csv",
+        "entity_code,observed_at,submitted_posted_time\nMK09,2024-07-09 10:00:00,1\n")
+    stream_updates(spark, f"{root}/*/*", table, str(tmp_path / "check"), max_files=4, opener=failing).awaitTermination()
+    later = run_daily(spark, root, table, out, run_ts=now + dt.timedelta(seconds=30))
+    assert later.update.new_rows == 1 and table.unopened(spark).isEmpty()
+
+
 def test_update_from_stored_list(spark, root, tmp_path):
     table = FactTable(str(tmp_path / "fact"))
     listed = put(str(tmp_path), "needs.csv", "s3_key\nwait_times/wdw/a.csv\nwait_times/wdw/gone.csv\n")
