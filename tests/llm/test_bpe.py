@@ -47,6 +47,18 @@ def test_heap_and_rounds_agree():
     assert bpe.merge(words) == [bpe.merge_long(w) for w in words]
 
 
+def test_words_around_the_bound_of_the_heap(library, monkeypatch):
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefghij") for _ in range(n)) for n in (510, 511, 512, 513, 514)] + ["a" * 511, "a" * 512]
+    expected = [library.encode(w, add_special_tokens=False).ids for w in words]
+    found = Bpe(default_vocabulary())
+    data = [w.encode() for w in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found.merge(data)] == expected
+    assert [np.frombuffer(found.merge_long(w), "<u4").tolist() for w in data] == expected
+    monkeypatch.setattr("obsledger.llm.bpe.LONG_WORD", 1 << 20)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found.merge(data)] == expected
+
+
 def test_broken_bytes_and_empty_tables(spark, library):
     rows = [(1, bytearray(np.array([162, 50256, 39000], "<u4").tobytes())), (2, None)]
     out = {r.i: r.decoded for r in decode(spark.createDataFrame(rows, "i int, token_ids binary")).collect()}
