@@ -22,6 +22,7 @@ from obsledger.llm.secret_scans import scan_secrets
 from obsledger.llm.suffix_dedup import drop_repeated_strings
 from obsledger.llm.tables import read
 from obsledger.llm.url_filters import Rule, host_of, judge_urls
+from obsledger.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -218,3 +219,18 @@ def op10_url_filters(spark, sf_dir):
     # A page's outcome is the label with its number.
     outcomes = pages.select("page_id", host_of(F.col("url")).alias("host")).join(labels, "page_id").select("host", "good")
     return judge_urls(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    found = whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "c")
+    return found.select("vec_id", "n", "deviation", "identity_error", component).select(
+        "vec_id",
+        (F.col("k") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        "c.whitened",
+        "c.explained",
+        "identity_error",
+    )
