@@ -19,6 +19,7 @@ from obsledger.llm.line_dedup import drop_repeated_lines
 from obsledger.llm.line_quality import fit_on_labels, held_out, score_documents
 from obsledger.llm.mixing import mix_sources
 from obsledger.llm.secret_scans import scan_secrets
+from obsledger.llm.sharding import shard_documents
 from obsledger.llm.suffix_dedup import drop_repeated_strings
 from obsledger.llm.tables import read
 from obsledger.llm.url_filters import Rule, host_of, judge_urls
@@ -234,3 +235,16 @@ def op11_whitening(spark, sf_dir):
         "c.explained",
         "identity_error",
     )
+
+
+@query()
+def op12_sharding(spark, sf_dir):
+    return shard_documents(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -1,0 +1,127 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import SF, documents
+from pyspark.sql import functions as F
+
+from obsledger.llm import on_corpus, sharding
+from obsledger.llm.sharding import shard_documents, write_shards
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def row_hash(seed, values):
+    """Spark's hash of a row: XXH64 from column to column, nulls passed over."""
+    h = 42
+    for v in [seed, *values]:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v[0].to_bytes(v[1], "little", signed=True)
+            h = xxhash.xxh64_intdigest(data, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute(rows, shards, seed=1, buckets=64):
+    """(doc_id, text, size, shard, slot) of each row (doc_id, text, source)."""
+    held = {}
+    for i, text, source in rows:
+        size = len((text or "").encode()) + 8
+        values = [None if i is None else (i, 8), text, source, (size, 8)]
+        bucket = row_hash((seed, 4), values) % buckets
+        held.setdefault(bucket, []).append((row_hash((seed, 4), ["order", *values]), i, text, size))
+    out, n = [], len(rows)
+    for bucket in sorted(held):
+        order = np.arange(len(held[bucket]))
+        np.random.Generator(np.random.PCG64([seed, bucket])).shuffle(order)
+        mine = sorted(held[bucket], key=lambda r: r[0])
+        out += [mine[k][1:] for k in order]
+    firsts = [-(-s * n // shards) for s in range(shards + 1)]
+    found = []
+    for place, row in enumerate(out):
+        shard = max(s for s in range(shards) if firsts[s] <= place < firsts[s + 1])
+        found.append((*row, shard, place - firsts[shard]))
+    return sorted(found, key=repr)
+
+
+def collected(df):
+    return sorted(((r.doc_id, r.text, r["size"], r.shard, r.slot) for r in df.collect()), key=repr)
+
+
+ROWS = [(i, f"text {i % 37} ünï" * (i % 5), "s") for i in range(300)]
+ROWS += [(None, "no id", "s"), (None, "no id", "s"), (5, None, "s"), (6, "", "s"), (7, "x" * 300_000, "s")]
+ROWS += [(7, "again", "s")] * 3
+
+
+def docs_of(spark, rows):
+    return documents(spark, rows).select("doc_id", "text", "source")
+
+
+@pytest.mark.parametrize("shards", [1, 24, 500])
+def test_like_a_plain_shuffle(spark, shards):
+    got = collected(shard_documents(docs_of(spark, ROWS).repartition(7), shards))
+    assert got == brute(ROWS, shards)
+    sizes = Counter(r[3] for r in got)
+    assert max(sizes.values()) - min(sizes.get(s, 0) for s in range(shards)) <= 1
+
+
+def test_another_seed_and_clashing_columns(spark):
+    docs = docs_of(spark, ROWS)
+    plain = collected(shard_documents(docs, 5, seed=2))
+    clashing = docs.withColumn("size", F.lit("old")).withColumn("shard", F.lit(1)).withColumn("slot", F.lit(None))
+    assert collected(shard_documents(clashing, 5, seed=2)) == plain == brute(ROWS, 5, seed=2)
+    assert plain != brute(ROWS, 5)
+
+
+def test_one_record_as_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 64)
+    rows = [(9, "the same row again", "s")] * 1000 + [(i, f"t{i}", "s") for i in range(2000)]
+    buckets = -(-sum(len(t) + 8 for _, t, _ in rows) // 2000)
+    found = shard_documents(docs_of(spark, rows).repartition(5), 24, bucket_bytes=2000, least_buckets=1).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter((i, t) for i, t, _ in rows)
+    slots = sorted((r.shard, r.slot) for r in found)
+    assert slots == [(s, k) for s in range(24) for k in range(125)]
+    # Its copies lie in all shards, about as many in each: no bucket had them all.
+    copies = Counter(r.shard for r in found if r.doc_id == 9)
+    assert buckets > 20 and len(copies) == 24 and max(copies.values()) < 90
+
+
+def test_order_does_not_depend_on_partitions(spark):
+    one = collected(shard_documents(docs_of(spark, ROWS).coalesce(1)))
+    assert one == collected(shard_documents(docs_of(spark, ROWS[::-1]).repartition(11)))
+
+
+def test_order_is_random(spark):
+    rows = [(i, "t", "s") for i in range(4000)]
+    got = sorted((r.shard, r.slot, r.doc_id) for r in shard_documents(docs_of(spark, rows)).collect())
+    ids = np.array([r[2] for r in got])
+    assert abs(np.corrcoef(np.arange(4000), ids)[0, 1]) < 0.06
+    assert (np.abs(np.diff(ids)) == 1).sum() < 12
+
+
+def test_empty_and_few(spark):
+    assert shard_documents(docs_of(spark, [])).count() == 0
+    got = collected(shard_documents(docs_of(spark, [(1, None, None)])))
+    assert got == [(1, None, 8, 0, 0)]
+
+
+def test_written_shards(spark, tmp_path):
+    write_shards(shard_documents(docs_of(spark, ROWS), 4), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert collected(back) == brute(ROWS, 4)
+    one = spark.read.parquet(str(tmp_path / "out" / "shard=2")).coalesce(1)
+    assert sorted(r.slot for r in one.collect()) == list(range(one.count()))
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    got = on_corpus.QUERIES["op12_sharding"](spark, SF).collect()
+    facts = lambda i, t: (i, len(t.encode()) + 8, zlib.crc32(t.encode()))
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in got) == sorted(facts(d.doc_id, d.text or "") for d in docs)
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "rows" and r.grown_shard is None
+    assert sorted(slots) == list(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
