@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.llm.bpe import decode, encode
+from obsledger.llm.filter_audit import audit_filters
 from obsledger.llm.fingerprints import fingerprint_edits
 from obsledger.llm.hamming import top_k
 from obsledger.llm.jaccard import jaccard_join
@@ -248,3 +249,40 @@ def op12_sharding(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+AUDIT = r"""
+    WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    fails AS (SELECT doc_id, part, [len(words) < 100,
+                  100 * len(list_distinct(words)) < 80 * len(words),
+                  100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+                  regexp_matches(text, '[#$%&*|]'),
+                  doc_id > min(doc_id) OVER (PARTITION BY text)] AS f FROM texts),
+    judged AS (SELECT part, list_transform(f, lambda x: coalesce(x, false)) AS f,
+                  list_sum(list_transform(f, lambda x: coalesce(x, false)::INT)) AS n_fails,
+                  coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+               FROM fails LEFT JOIN labels USING (doc_id)),
+    cells AS (SELECT part, f, n_fails, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 3, 4, 5]) AS i),
+    orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS o
+               FROM letters a, letters b, letters c, letters d, letters e
+               WHERE a.i <> b.i AND a.i <> c.i AND a.i <> d.i AND a.i <> e.i AND b.i <> c.i AND b.i <> d.i
+                 AND b.i <> e.i AND c.i <> d.i AND c.i <> e.i AND d.i <> e.i),
+    at_step AS (SELECT part, filter_order, step, o[step] AS letter, n, n_fails, good, toxic, f[o[step]] AS fails,
+                       len(list_filter(o[1:step - 1], lambda k: f[k])) > 0 AS out
+                FROM cells, orders, range(1, 6) t(step)),
+    counted AS (SELECT part, filter_order, step::INTEGER AS step, letter,
+            coalesce(sum(n) FILTER (NOT out AND NOT fails), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (NOT out AND fails), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (out AND fails), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (fails AND n_fails = 1), 0)::BIGINT AS unique_fails,
+            coalesce(sum(n) FILTER (NOT out AND fails AND good), 0)::BIGINT AS good_lost,
+            coalesce(sum(n) FILTER (NOT out AND fails AND toxic), 0)::BIGINT AS toxic_lost
+        FROM at_step GROUP BY ALL)
+    SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM counted"""
+
+
+@query(AUDIT)
+def op13_filter_audit(spark, sf_dir):
+    return audit_filters(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), read(spark, sf_dir, "labels"))
