@@ -1,10 +1,10 @@
 """Filter interaction audit: what each filter of a set removes in every order of the set.
 
 Words are counted in a sparse document-term matrix. Tasks cut the documents into shards and count with word
-numbers of the shard's own; the shards' word lists are then joined with a dictionary of all words, and the
-shards are written again with its numbers, in compressed sparse rows (CSR). Only word lists are
-shuffled by word, never (document, word) entries. Row sums and nonzero counts decide the filters on words;
-the others are expressions. Documents with the same failures, outcome and part are then counted as one.
+numbers of the shard's own; the shards' word lists are then numbered by a dictionary of all words, and the
+shards take over its numbers, in compressed sparse rows (CSR). Only word lists are shuffled by
+word, never (document, word) entries. Row sums and nonzero counts decide the filters on words, the
+others are attached. Documents with the same failures, outcome and part are then counted as one.
 """
 
 from __future__ import annotations
@@ -25,34 +25,37 @@ FILTERS = "ABCDE"
 LEAST_WORDS = 100
 LEAST_DISTINCT = 80
 MOST_CAPITALS = 10
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SYMBOLS = "[#$%&*|]"
+SYMBOLS = "#$%&*|"
 SHARD_BITS = 40
 """A task numbers its shards in so many bits, below the number of its partition."""
+BUCKETS = 1 << 14
+"""Words are numbered in so many groups by hash; their sizes are all that must be known of other groups."""
 
-ROWS = "doc bigint, part string, flags int, a bigint, b bigint"
-FIELDS = ["doc", "part", "flags", "a", "b"]
-ROW = "struct<doc: bigint, part: string, flags: int, a: bigint, b: bigint>"
+FIELDS = ["doc", "part", "a", "b", "flags"]
+ROW = "struct<doc: bigint, part: string, a: bigint, b: bigint, flags: int>"
 ARRAYS = ["shard", "rows", "indptr", "indices", "data"]
-LOCAL = f"shard bigint, rows array<{ROW}>, indptr array<int>, indices array<int>, data array<int>, words array<string>"
-CSR = f"shard bigint, rows array<{ROW}>, indptr array<int>, indices array<bigint>, data array<int>"
-COUNTED = f"{ROWS}, n_words bigint, n_distinct bigint"
+CSR = f"shard bigint, rows array<{ROW}>, indptr binary, indices binary, data binary"
+"""Matrix rows and the three arrays, packed as little-endian 64-bit (``indices``: in local shards 32-bit) integers."""
+COUNTED = "doc bigint, part string, a bigint, b bigint, flags int, n_words bigint, n_distinct bigint"
 
 
 def _columns(batch: pa.RecordBatch, names: list[str]) -> dict[str, pa.Array]:
     return {n: batch.column(batch.schema.get_field_index(n)) for n in names}
 
 
-def _one(values: pa.Array | np.ndarray) -> pa.ListArray:
+def _one(values: pa.Array) -> pa.ListArray:
     """A column of one row that holds all values."""
-    values = values if isinstance(values, pa.Array) else pa.array(values)
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _packed(values: np.ndarray, kind: str = "<i8") -> pa.Array:
+    return pa.array([values.astype(kind).tobytes()], pa.binary())
+
+
 def _counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """indptr, indices, data of the texts' words (numbered by first place) and the words."""
     # White space of ASCII is what parts words, the bytes of other characters belong to them.
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    split = pc.ascii_split_whitespace(texts)
     lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
     words = split.flatten()
     doc = np.repeat(np.arange(len(texts)), lengths)
@@ -60,76 +63,96 @@ def _counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Ar
     doc, coded = doc[solid.to_numpy(zero_copy_only=False)], words.filter(solid).dictionary_encode()
     width = max(len(coded.dictionary), 1)
     entries, data = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
-    indptr = np.searchsorted(entries, np.arange(len(texts) + 1) * width)
-    return indptr.astype(np.int32), (entries % width).astype(np.int32), data.astype(np.int32), coded.dictionary
+    return np.searchsorted(entries, np.arange(len(texts) + 1) * width), entries % width, data, coded.dictionary
+
+
+def _flags(texts: pa.Array) -> np.ndarray:
+    """Bits of the filters on characters."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    capitals = np.flatnonzero((raw >= ord("A")) & (raw <= ord("Z")))
+    capitals = np.diff(np.searchsorted(capitals, ends - ends[0]))
+    shouts = 100 * capitals > MOST_CAPITALS * pc.utf8_length(texts).to_numpy().astype(np.int64)
+    symbols = pc.match_substring_regex(texts, f"[{SYMBOLS}]").to_numpy(zero_copy_only=False)
+    return shouts * (1 << FILTERS.index("C")) + symbols * (1 << FILTERS.index("D"))
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
-    """Shards of ``docs`` (ROWS and text): rows, CSR arrays in the shard's own word numbers, its words."""
+    """Shards of ``docs`` (doc, part, a, b, text): CSR in the shard's own word numbers, and its words."""
 
     def run(batches):
         first = TaskContext.get().partitionId() << SHARD_BITS
         for k, piece in enumerate(slices(batches)):
-            at = _columns(piece, [*FIELDS, "text"])
+            at = _columns(piece, [*FIELDS[:-1], "text"])
+            texts = at["text"].cast(pa.string())
+            at["flags"] = pa.array(_flags(texts).astype(np.int32))
             rows = pa.StructArray.from_arrays([at[n] for n in FIELDS], names=FIELDS)
-            indptr, indices, data, words = _counted(at["text"])
-            arrays = [pa.array([first + k], pa.int64()), *map(_one, (rows, indptr, indices, data, words))]
+            indptr, indices, data, words = _counted(texts)
+            arrays = [pa.array([first + k], pa.int64()), _one(rows)]
+            arrays += [_packed(indptr), _packed(indices, "<i4"), _packed(data), _one(words)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*ARRAYS, "words"])
 
-    return docs.mapInArrow(run, LOCAL)
+    return docs.mapInArrow(run, f"{CSR}, words array<string>")
 
 
-def word_dictionary(shards: DataFrame, scratch: Scratch) -> DataFrame:
-    """(word, number): the words of all shards, numbered from 0 without gaps."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    words = scratch.keep(words.withColumn("part", F.spark_partition_id()), "words")
-    sizes = words.groupBy("part").agg(F.count("*").alias("size"))  # one row for each shuffle partition
-    before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    first = sizes.select("part", F.coalesce(before, F.lit(0)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy("word"))
-    return words.withColumn("rank", rank).join(F.broadcast(first), "part").select(
-        "word", (F.col("first") + F.col("rank") - 1).alias("number")
-    )
+def _ranked(words: DataFrame) -> DataFrame:
+    """``words`` with ``bucket`` and ``rank``: the number of the word in its bucket, from 1 without gaps."""
+    hashed = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)))
+    return hashed.withColumn("rank", F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")))
 
 
 def term_shards(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The document-term matrix of ``docs`` (ROWS and text) in CSR shards, and the dictionary of its columns."""
+    """The document-term matrix of ``docs`` (doc, part, a, b, text) in CSR shards, and the dictionary (word, number).
+
+    Words are numbered from 0 without gaps. Shards come with their matrix rows as ``rows``.
+    """
     local = scratch.keep(local_shards(docs), "local")
-    words = scratch.keep(word_dictionary(local, scratch), "dictionary")
-    held = local.select("shard", F.posexplode("words").alias("own", "word"))
-    numbers = held.join(words, "word").groupBy("shard").agg(F.collect_list(F.struct("own", "number")).alias("numbers"))
+    ranked = _ranked(local.select("shard", F.posexplode("words").alias("own", "word"))).drop("word")
+    ranked = scratch.keep(ranked, "ranked")
+    sizes = ranked.groupBy("bucket").agg(F.max("rank").alias("size"))  # at most BUCKETS rows
+    before = F.sum("size").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    first = scratch.keep(sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("first")), "first")
+    number = (F.col("first") + F.col("rank") - 1).alias("number")
+    dictionary = _ranked(local.select(F.explode("words").alias("word")).distinct()).join(F.broadcast(first), "bucket")
+    numbers = (
+        ranked.join(F.broadcast(first), "bucket")
+        .select("shard", "own", number)
+        .groupBy("shard")
+        .agg(F.collect_list("own").alias("own"), F.collect_list("number").alias("number"))
+    )
     joined = local.drop("words").join(numbers, "shard", "left")
 
     def run(batches):
         for batch in batches:
-            at = _columns(batch, [*ARRAYS, "numbers"])
+            at = _columns(batch, [*ARRAYS, "own", "number"])
             for k in range(batch.num_rows):
-                indices, pairs = at["indices"][k].values.to_numpy(), at["numbers"][k].values
                 renamed = np.zeros(0, np.int64)
-                if pairs is not None:
-                    table = np.empty(len(pairs), np.int64)
-                    table[pairs.field(0).to_numpy()] = pairs.field(1).to_numpy()
-                    renamed = table[indices]
-                arrays = [_one(renamed) if n == "indices" else at[n].slice(k, 1) for n in ARRAYS]
+                if at["own"][k].is_valid:
+                    own = at["own"][k].values.to_numpy()
+                    table = np.empty(len(own), np.int64)
+                    table[own] = at["number"][k].values.to_numpy()
+                    renamed = table[np.frombuffer(at["indices"][k].as_py(), "<i4")]
+                arrays = [_packed(renamed) if n == "indices" else at[n].slice(k, 1) for n in ARRAYS]
                 yield pa.RecordBatch.from_arrays(arrays, names=ARRAYS)
 
-    return scratch.keep(joined.mapInArrow(run, CSR), "csr"), words
+    return joined.mapInArrow(run, CSR), dictionary.select("word", number)
 
 
 def row_counts(csr: DataFrame) -> DataFrame:
-    """ROWS with n_words, the sum of the matrix row, and n_distinct, its nonzero entries."""
+    """The matrix rows with n_words, the sum of the row, and n_distinct, its nonzero entries."""
 
     def run(batches):
         for batch in batches:
             at = _columns(batch, ["rows", "indptr", "data"])
             for k in range(batch.num_rows):
-                rows, indptr = at["rows"][k].values, at["indptr"][k].values.to_numpy()
-                sums = np.concatenate([[0], np.cumsum(at["data"][k].values.to_numpy().astype(np.int64))])[indptr]
-                counts = [pa.array(np.diff(sums)), pa.array(np.diff(indptr.astype(np.int64)))]
-                arrays = [*(rows.field(n) for n in FIELDS), *counts]
+                indptr, data = (np.frombuffer(at[n][k].as_py(), "<i8") for n in ("indptr", "data"))
+                sums = np.concatenate([[0], np.cumsum(data)])[indptr]
+                arrays = [at["rows"][k].values.field(n) for n in FIELDS]
+                arrays += [pa.array(np.diff(sums)), pa.array(np.diff(indptr))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*FIELDS, "n_words", "n_distinct"])
 
-    return csr.mapInArrow(run, COUNTED)
+    return csr.select("rows", "indptr", "data").mapInArrow(run, COUNTED)
 
 
 def _bit(failure: Column, letter: str) -> Column:
@@ -145,14 +168,10 @@ def failures(
 ) -> DataFrame:
     """(doc, part, failed, n_words, n_distinct): one row for each document, ``failed`` a bit for each filter, A the lowest."""
     scratch = scratch or Scratch(docs.sparkSession, "audit")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    length = lambda t: F.char_length(t).cast("bigint")
-    capitals = length(text) - length(F.translate(text, CAPITALS, ""))
-    flags = _bit(100 * capitals > MOST_CAPITALS * length(text), "C") + _bit(F.regexp_like(text, F.lit(SYMBOLS)), "D")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc"),
         F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
-        flags.alias("flags"),
         # Equal texts are told by 128 bits.
         F.xxhash64(text).alias("a"),
         F.xxhash64(text, F.lit(7)).alias("b"),

@@ -112,7 +112,7 @@ def test_the_matrix(spark, monkeypatch):
     monkeypatch.setattr(tables, "SLICE_BYTES", 2000)
     rows = [(i, t) for i, t, _ in ROWS]
     docs = documents(spark, rows).selectExpr(
-        "doc_id as doc", "'' as part", "0 as flags", "0L as a", "0L as b", "text"
+        "doc_id as doc", "'' as part", "0L as a", "0L as b", "coalesce(text, '') as text"
     )
     csr, words = term_shards(docs, Scratch(spark, "test"))
     word = {r.number: r.word for r in words.collect()}
@@ -120,11 +120,11 @@ def test_the_matrix(spark, monkeypatch):
     assert set(word.values()) == {w for _, t in rows for w in WORD.findall(t or "")}
     found = []
     for shard in csr.collect():
-        ptr = shard.indptr
-        assert len(ptr) == len(shard.rows) + 1 and ptr[-1] == len(shard.indices) == len(shard.data)
+        ptr, indices, data = (np.frombuffer(x, "<i8").tolist() for x in (shard.indptr, shard.indices, shard.data))
+        assert len(ptr) == len(shard.rows) + 1 and ptr[-1] == len(indices) == len(data)
         for k, row in enumerate(shard.rows):
             entries = range(ptr[k], ptr[k + 1])
-            found.append((row.doc, {word[shard.indices[e]]: shard.data[e] for e in entries}))
+            found.append((row.doc, {word[indices[e]]: data[e] for e in entries}))
     assert csr.count() > 1
     assert sorted(found, key=repr) == sorted(((i, dict(Counter(WORD.findall(t or "")))) for i, t in rows), key=repr)
 
