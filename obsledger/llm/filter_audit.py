@@ -35,7 +35,7 @@ FIELDS = ["doc", "part", "a", "b", "flags"]
 ROW = "struct<doc: bigint, part: string, a: bigint, b: bigint, flags: int>"
 ARRAYS = ["shard", "rows", "indptr", "indices", "data"]
 CSR = f"shard bigint, rows array<{ROW}>, indptr binary, indices binary, data binary"
-"""Matrix rows and the three arrays, packed as little-endian 64-bit (``indices``: in local shards 32-bit) integers."""
+"""Matrix rows and the three arrays, packed as little-endian integers: 64-bit (``data``, and ``indices`` of a local shard, 32-bit)."""
 COUNTED = "doc bigint, part string, a bigint, b bigint, flags int, n_words bigint, n_distinct bigint"
 
 
@@ -90,7 +90,7 @@ def local_shards(docs: DataFrame) -> DataFrame:
             rows = pa.StructArray.from_arrays([at[n] for n in FIELDS], names=FIELDS)
             indptr, indices, data, words = _counted(texts)
             arrays = [pa.array([first + k], pa.int64()), _one(rows)]
-            arrays += [_packed(indptr), _packed(indices, "<i4"), _packed(data), _one(words)]
+            arrays += [_packed(indptr), _packed(indices, "<i4"), _packed(data, "<i4"), _one(words)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*ARRAYS, "words"])
 
     return docs.mapInArrow(run, f"{CSR}, words array<string>")
@@ -102,57 +102,52 @@ def _ranked(words: DataFrame) -> DataFrame:
     return hashed.withColumn("rank", F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")))
 
 
-def term_shards(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The document-term matrix of ``docs`` (doc, part, a, b, text) in CSR shards, and the dictionary (word, number).
+def _renumbered(local: pa.Table, numbers: pa.Table) -> pa.Table:
+    """One local shard with the numbers of the dictionary in place of its own."""
+    table = np.zeros(len(numbers), np.int64)
+    table[numbers["own"].to_numpy()] = numbers["number"].to_numpy()
+    renamed = table[np.frombuffer(local["indices"][0].as_py(), "<i4")]
+    return local.select(ARRAYS).set_column(ARRAYS.index("indices"), "indices", _packed(renamed))
 
-    Words are numbered from 0 without gaps. Shards come with their matrix rows as ``rows``.
-    """
-    local = scratch.keep(local_shards(docs), "local")
-    ranked = _ranked(local.select("shard", F.posexplode("words").alias("own", "word"))).drop("word")
-    ranked = scratch.keep(ranked, "ranked")
-    sizes = ranked.groupBy("bucket").agg(F.max("rank").alias("size"))  # at most BUCKETS rows
-    before = F.sum("size").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    first = scratch.keep(sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("first")), "first")
-    number = (F.col("first") + F.col("rank") - 1).alias("number")
-    dictionary = _ranked(local.select(F.explode("words").alias("word")).distinct()).join(F.broadcast(first), "bucket")
-    numbers = (
-        ranked.join(F.broadcast(first), "bucket")
-        .select("shard", "own", number)
-        .groupBy("shard")
-        .agg(F.collect_list("own").alias("own"), F.collect_list("number").alias("number"))
-    )
-    joined = local.drop("words").join(numbers, "shard", "left")
 
-    def run(batches):
-        for batch in batches:
-            at = _columns(batch, [*ARRAYS, "own", "number"])
-            for k in range(batch.num_rows):
-                renamed = np.zeros(0, np.int64)
-                if at["own"][k].is_valid:
-                    own = at["own"][k].values.to_numpy()
-                    table = np.empty(len(own), np.int64)
-                    table[own] = at["number"][k].values.to_numpy()
-                    renamed = table[np.frombuffer(at["indices"][k].as_py(), "<i4")]
-                arrays = [_packed(renamed) if n == "indices" else at[n].slice(k, 1) for n in ARRAYS]
-                yield pa.RecordBatch.from_arrays(arrays, names=ARRAYS)
+def _row_counts(shard: pa.Table) -> pa.Table:
+    indptr, data = (np.frombuffer(shard[n][0].as_py(), kind) for n, kind in (("indptr", "<i8"), ("data", "<i4")))
+    sums = np.concatenate([[0], np.cumsum(data.astype(np.int64))])[indptr]
+    rows = shard["rows"][0].values
+    arrays = [*(rows.field(n) for n in FIELDS), pa.array(np.diff(sums)), pa.array(np.diff(indptr))]
+    return pa.table(arrays, names=[*FIELDS, "n_words", "n_distinct"])
 
-    return joined.mapInArrow(run, CSR), dictionary.select("word", number)
 
+class TermMatrix:
+    """The document-term matrix of ``docs`` (doc, part, a, b, text); words are numbered from 0 without gaps."""
 
-def row_counts(csr: DataFrame) -> DataFrame:
-    """The matrix rows with n_words, the sum of the row, and n_distinct, its nonzero entries."""
+    def __init__(self, docs: DataFrame, scratch: Scratch) -> None:
+        self._local = scratch.keep(local_shards(docs), "local")
+        ranked = _ranked(self._local.select("shard", F.posexplode("words").alias("own", "word"))).drop("word")
+        ranked = scratch.keep(ranked, "ranked")
+        sizes = ranked.groupBy("bucket").agg(F.max("rank").alias("size"))  # at most BUCKETS rows
+        before = F.sum("size").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+        self._first = scratch.keep(sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("first")), "first")
+        # A shard meets the numbers of its words: at most as many as it has bytes.
+        self._numbered = self._local.drop("words").groupBy("shard").cogroup(
+            self._number(ranked, "shard", "own").groupBy("shard")
+        )
 
-    def run(batches):
-        for batch in batches:
-            at = _columns(batch, ["rows", "indptr", "data"])
-            for k in range(batch.num_rows):
-                indptr, data = (np.frombuffer(at[n][k].as_py(), "<i8") for n in ("indptr", "data"))
-                sums = np.concatenate([[0], np.cumsum(data)])[indptr]
-                arrays = [at["rows"][k].values.field(n) for n in FIELDS]
-                arrays += [pa.array(np.diff(sums)), pa.array(np.diff(indptr))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*FIELDS, "n_words", "n_distinct"])
+    def _number(self, ranked: DataFrame, *columns: str) -> DataFrame:
+        number = (F.col("first") + F.col("rank") - 1).alias("number")
+        return ranked.join(F.broadcast(self._first), "bucket").select(*columns, number)
+
+    def dictionary(self) -> DataFrame:
+        """(word, number) of every word."""
+        return self._number(_ranked(self._local.select(F.explode("words").alias("word")).distinct()), "word")
+
+    def shards(self) -> DataFrame:
+        """The matrix in CSR shards, each with its matrix rows as ``rows``."""
+        return self._numbered.applyInArrow(_renumbered, CSR)
 
-    return csr.select("rows", "indptr", "data").mapInArrow(run, COUNTED)
+    def row_counts(self) -> DataFrame:
+        """The matrix rows with n_words, the sum of the row, and n_distinct, its nonzero entries."""
+        return self._numbered.applyInArrow(lambda local, numbers: _row_counts(_renumbered(local, numbers)), COUNTED)
 
 
 def _bit(failure: Column, letter: str) -> Column:
@@ -177,8 +172,7 @@ def failures(
         F.xxhash64(text, F.lit(7)).alias("b"),
         text.alias("text"),
     )
-    csr, _ = term_shards(rows, scratch)
-    counted = scratch.keep(row_counts(csr), "counted")
+    counted = scratch.keep(TermMatrix(rows, scratch).row_counts(), "counted")
     # Written, so that the join has an exchange of its own on both sides and a hot text can be split.
     first = scratch.keep(counted.groupBy("a", "b").agg(F.min("doc").alias("first"), F.count("*").alias("n")), "texts")
     first = first.where("n > 1").drop("n")

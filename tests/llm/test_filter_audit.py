@@ -7,7 +7,7 @@ from helpers import documents
 from pyspark.sql import functions as F
 
 from obsledger.llm import filter_audit, tables
-from obsledger.llm.filter_audit import audit_filters, failures, term_shards
+from obsledger.llm.filter_audit import TermMatrix, audit_filters, failures
 from obsledger.llm.tables import Scratch
 
 COUNTS = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
@@ -114,18 +114,19 @@ def test_the_matrix(spark, monkeypatch):
     docs = documents(spark, rows).selectExpr(
         "doc_id as doc", "'' as part", "0L as a", "0L as b", "coalesce(text, '') as text"
     )
-    csr, words = term_shards(docs, Scratch(spark, "test"))
-    word = {r.number: r.word for r in words.collect()}
+    matrix = TermMatrix(docs, Scratch(spark, "test"))
+    word = {r.number: r.word for r in matrix.dictionary().collect()}
     assert sorted(word) == list(range(len(word)))
     assert set(word.values()) == {w for _, t in rows for w in WORD.findall(t or "")}
     found = []
-    for shard in csr.collect():
-        ptr, indices, data = (np.frombuffer(x, "<i8").tolist() for x in (shard.indptr, shard.indices, shard.data))
+    for shard in matrix.shards().collect():
+        ptr, indices = (np.frombuffer(x, "<i8").tolist() for x in (shard.indptr, shard.indices))
+        data = np.frombuffer(shard.data, "<i4").tolist()
         assert len(ptr) == len(shard.rows) + 1 and ptr[-1] == len(indices) == len(data)
         for k, row in enumerate(shard.rows):
             entries = range(ptr[k], ptr[k + 1])
             found.append((row.doc, {word[indices[e]]: data[e] for e in entries}))
-    assert csr.count() > 1
+    assert matrix.shards().count() > 1
     assert sorted(found, key=repr) == sorted(((i, dict(Counter(WORD.findall(t or "")))) for i, t in rows), key=repr)
 
 
