@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from obsledger.operators.dedupe import distinct_rows
 from obsledger.operators.sampling import uniform_sample
-from obsledger.plans.observe import Observed, Rules, observe
+from obsledger.plans.observe import SHIFTED, UNDATED, Observed, Rules, observe, rows_left_out
 from obsledger.schema import SAMPLE_K, SAMPLE_SEED
 from obsledger.session import new_run_id, run_session
 from obsledger.sinks.publish import BUILD, publish, write_facts
@@ -87,10 +87,26 @@ def metrics_of(drops: DropSet, observed: Observed, new_rows: int) -> dict[str, i
     return counts | {
         "rejected_files": len(drops.rejected),
         "new_rows": new_rows,
-        "collapsed_rows": observed.collapsed_rows(),
+        **observed.counts(),
     }
 
 
+def keep_left_out(
+    spark: SparkSession,
+    table: FactTable,
+    run_id: str,
+    drops: DropSet,
+    observed: Observed,
+    rules: Rules,
+) -> None:
+    """Store the rows that the writing pass left out. They are read again only if its counters say that there are any."""
+    counts = observed.counts()
+    left_out = counts[SHIFTED] + counts[UNDATED]
+    if left_out:
+        rows_left_out(spark, drops, rules).write.parquet(table.left_out_path(run_id))
+        log.warning("%d rows left out, see %s", left_out, table.left_out_path(run_id))
+
+
 def build_from(
     spark: SparkSession,
     manifest: DataFrame,
@@ -114,13 +130,16 @@ def build_from(
     """
     run_id = run_id or new_run_id()
     previous = table.commit(spark)
-    drops = plan_drops(spark, manifest, zones=zones, opener=opener)
+    drops = plan_drops(
+        spark, manifest, zones=zones, opener=opener, quoted_breaks=not rules.multi_line
+    )
     if not (drops.layouts or drops.rejected or allow_empty):
         raise EmptyListing("no drops are listed: nothing to build the table from")
     set_aside(spark, table, run_id, drops)
     observed = observe(run_session(spark, bytes_of(manifest)), drops, rules)
     segment = table.segment_path(run_id)
     write_facts(distinct_rows(observed.rows), segment)
+    keep_left_out(spark, table, run_id, drops, observed, rules)
     rows = read_facts(spark, segment).count()
     commit = publish(
         spark,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsledger.operators.priority import (
@@ -18,7 +19,7 @@ from obsledger.operators.priority import (
 )
 from obsledger.operators.standby import normalize_standby
 from obsledger.schema import FACT_SCHEMA, STANDBY
-from obsledger.sources.drops import DropSet, Layout, scan_layout
+from obsledger.sources.drops import EXTRA_FIELD, FILE, FILE_ORDER, DropSet, Layout, is_shifted, scan_layout
 
 
 @dataclass(frozen=True)
@@ -31,26 +32,32 @@ class Rules:
     ignore_missing: bool = False
 
 
+COLLAPSED, SHIFTED, UNDATED = "collapsed_rows", "shifted_rows", "undated_rows"
+
+
 @dataclass
 class Observed:
-    """Observations of a drop set (not yet distinct) and their run metrics."""
+    """Observations of a drop set (not yet distinct) and the counters of their scan."""
 
     rows: DataFrame
-    collapsed: list[Observation] = field(default_factory=list)
+    counters: list[Observation] = field(default_factory=list)
 
-    def collapsed_rows(self) -> int:
-        """Rows dropped by keep-last; valid once ``rows`` has been written."""
-        return sum(_counted(o) for o in self.collapsed)
+    def counts(self) -> dict[str, int]:
+        """Rows dropped by keep-last and rows left out, by reason; valid once ``rows`` has been written."""
+        total = Counter({COLLAPSED: 0, SHIFTED: 0, UNDATED: 0})
+        for watch in self.counters:
+            total.update(_counted(watch))
+        return dict(total)
 
 
-def _counted(watch: Observation) -> int:
-    """Value of a counter; where no row arrived, Spark prunes it from the plan."""
+def _counted(watch: Observation) -> dict[str, int]:
+    """Values of a counter; where no row arrived, Spark prunes it from the plan."""
     try:
-        return watch.get["collapsed"] or 0
+        return {k: v or 0 for k, v in watch.get.items()}
     except Py4JJavaError as error:
         if "toPyRow" not in str(error):  # an empty row of counters cannot be turned into Python
             raise
-        return 0
+        return {}
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -65,68 +72,66 @@ def observe(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> Obse
     """
 
     shared = drops.shared_folder()
+    counters: list[Observation] = []
+
+    def counted(df: DataFrame, **values: Column) -> DataFrame:
+        counters.append(Observation())
+        return df.observe(counters[-1], *[v.alias(k) for k, v in values.items()])
 
-    def scan(layout: Layout, paths: list[str]) -> DataFrame:
-        return scan_layout(
+    def scan(layout: Layout, paths: list[str], broken: bool) -> DataFrame:
+        raw = scan_layout(
             spark,
             layout,
             paths,
             shared=shared,
             ordered=layout.family != STANDBY,
-            multi_line=rules.multi_line,
-            ignore_missing=rules.ignore_missing,
+            broken=broken,
+            **_scan_options(rules),
         )
+        if EXTRA_FIELD not in raw.columns:
+            return raw
+        raw = counted(raw, **{SHIFTED: F.count_if(is_shifted(raw))})
+        return raw.filter(~is_shifted(raw)).drop(EXTRA_FIELD)
 
     frames: list[DataFrame] = []
     by_zone: dict[str, list[DataFrame]] = {}
-    for layout, paths in drops.layouts.items():
-        raw = scan(layout, paths)
+    for layout, paths, broken in drops.parts():
+        raw = scan(layout, paths, broken)
         if layout.family == STANDBY:
             frames.append(normalize_standby(raw, layout.zone, fold=rules.fold))
         else:
-            parsed = parse_priority(raw, sellout=rules.sellout)
-            by_zone.setdefault(layout.zone, []).append(parsed)
+            # Undated are those that come in and do not come out.
+            parsed = parse_priority(counted(raw, **{UNDATED: F.count("*")}), sellout=rules.sellout)
+            by_zone.setdefault(layout.zone, []).append(counted(parsed, **{UNDATED: -F.count("*")}))
 
-    collapsed: list[Observation] = []
     for zone, parsed in by_zone.items():
-        watch = Observation()
-        kept = collapse_priority(_union(parsed)).observe(
-            watch, F.sum(F.col("source_rows") - 1).alias("collapsed")
-        )
-        collapsed.append(watch)
+        kept = counted(collapse_priority(_union(parsed)), **{COLLAPSED: F.sum(F.col("source_rows") - 1)})
         frames.append(finish_priority(kept, zone, fold=rules.fold))
 
     if not frames:
         return Observed(spark.createDataFrame([], FACT_SCHEMA))
-    return Observed(_union(frames), collapsed)
+    return Observed(_union(frames), counters)
 
 
 def _scan_options(rules: Rules) -> dict[str, bool]:
     return {"multi_line": rules.multi_line, "ignore_missing": rules.ignore_missing}
 
 
-def shifted_rows(
-    spark: SparkSession, drops: DropSet, rules: Rules = Rules()
-) -> DataFrame | None:
-    """Raw rows left out because they hold more fields than their header, read as the run read them."""
-    frames = [
-        scan_layout(spark, layout, paths, keep_extra=True, **_scan_options(rules)).select(
-            F.lit(layout.family).alias("family"), F.to_json(F.struct("*")).alias("fields")
-        )
-        for layout, paths in drops.layouts.items()
-    ]
-    return _union(frames) if frames else None
-
-
-def undated_rows(
-    spark: SparkSession, drops: DropSet, rules: Rules = Rules()
-) -> DataFrame | None:
-    """Raw priority rows left out because entity or date cannot be read, read as the run read them."""
-    frames = [
-        scan_layout(spark, layout, paths, **_scan_options(rules))
-        .filter(~readable())
-        .select(F.lit(layout.family).alias("family"), F.to_json(F.struct("*")).alias("fields"))
-        for layout, paths in drops.layouts.items()
-        if layout.family != STANDBY
-    ]
-    return _union(frames) if frames else None
+LEFT_OUT = "file string, family string, reason string, fields string"
+
+
+def rows_left_out(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> DataFrame:
+    """(file, family, reason, fields) of the rows that the run left out, read as the run read them.
+
+    Shifted rows hold more fields than their header; of undated ones entity or date cannot be read.
+    """
+    frames = [spark.createDataFrame([], LEFT_OUT)]
+    for layout, paths, broken in drops.parts():
+        raw = scan_layout(spark, layout, paths, ordered=True, broken=broken, **_scan_options(rules))
+        reason = F.when(is_shifted(raw), SHIFTED)
+        if layout.family != STANDBY:
+            reason = F.coalesce(reason, F.when(~readable(), UNDATED))
+        fields = F.to_json(F.struct(*[c for c in raw.columns if c not in (FILE, FILE_ORDER)]))
+        found = raw.select(F.col(FILE), F.lit(layout.family).alias("family"), reason.alias("reason"), fields.alias("fields"))
+        frames.append(found.filter(F.col("reason").isNotNull()))
+    return _union(frames)

@@ -717,22 +717,28 @@ _DROP_SQL = f"""
                CAST(user_id % 60 AS BIGINT) FROM events)"""
 
 
-def write_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Events as CSV drops of all properties in both families, below ``root``."""
-    events = table(spark, sf_dir, "events").withColumn(
-        "prop", F.element_at(F.array(*map(F.lit, PROPERTIES)), (F.col("user_id") % 5 + 1).cast("int"))
-    )
-    standby = events.select(
+def drop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prop = F.element_at(F.array(*map(F.lit, PROPERTIES)), (F.col("user_id") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "events").withColumn("prop", prop)
+
+
+def standby_drops(events: DataFrame, *first: str) -> DataFrame:
+    return events.select(
         "prop",
+        *first,
         F.concat(F.lit("u"), "user_id").alias("entity_code"),
         text_of(F.col("ts")).alias("observed_at"),
         F.col("value").alias("submitted_posted_time"),
     )
+
+
+def priority_drops(events: DataFrame, *first: str) -> DataFrame:
     offered = F.col("ts") + F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("user_id") % 60).cast("int")
     )
-    priority = events.select(
+    return events.select(
         "prop",
+        *first,
         F.hour(offered).alias("FWINHR"),
         F.minute(offered).alias("FWINMIN"),
         F.concat(F.lit("p"), "event_id").alias("FATTID"),
@@ -742,13 +748,22 @@ def write_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
         F.hour("ts").alias("FHOUR"),
         F.minute("ts").alias("FMIN"),
     )
+
+
+def _write_families(root: str, standby: DataFrame, priority: DataFrame, **options) -> None:
     for prop in PROPERTIES:
         for folder, df in (("wait_times", standby), ("fastpass_times", priority)):
-            df.filter(F.col("prop") == prop).drop("prop").write.option("header", True).csv(
+            df.filter(F.col("prop") == prop).drop("prop").write.options(header=True, **options).csv(
                 f"{root}/{folder}/{prop}"
             )
 
 
+def write_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Events as CSV drops of all properties in both families, below ``root``."""
+    events = drop_events(spark, sf_dir)
+    _write_families(root, standby_drops(events), priority_drops(events))
+
+
 def _run_folder(spark: SparkSession) -> str:
     return f"{work_dir(spark)}/on-tables-{new_run_id()}"
 
@@ -817,17 +832,72 @@ def build_mixed_layouts(spark, sf_dir):
     return facts.read(spark)
 
 
+@query(_DROP_SQL)
+def quoted_breaks(spark, sf_dir):
+    """Drops whose first column is a note of several lines with quotes and commas in two of three rows."""
+    folder = _run_folder(spark)
+    events = drop_events(spark, sf_dir)
+    note = F.concat(F.lit('said ""no"",\nthen "'), text_of(F.col("event_id")), F.lit('"\n\n, left'))
+    note = F.when(F.col("event_id") % 3 > 0, note).otherwise("plain")
+    events = events.withColumn("note", note)
+    _write_families(f"{folder}/export", standby_drops(events, "note"), priority_drops(events, "note"), escape='"')
+    facts = FactTable(f"{folder}/fact")
+    build(spark, f"{folder}/export", facts, run_ts=dt.datetime.now(dt.timezone.utc))
+    return facts.read(spark)
+
+
+# ---- drops with rows that cannot be used --------------------------------------------------
+_USABLE_SQL = f"""
+    SELECT DISTINCT * FROM (
+        SELECT 'U' || user_id AS entity_code, ts, 'POSTED' AS kind, round_even(value, 0) AS minutes
+        FROM events WHERE event_id % 97 <> 0
+        UNION ALL
+        SELECT 'P' || event_id, date_trunc('minute', ts), 'PRIORITY', user_id % 60 FROM events WHERE event_id % 89 <> 0)"""
+
+
+def write_odd_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """One standby row in 97 has a field too many, one priority row in 89 no possible month; of one in
+    83 an earlier row with another return time stands before it, and one file has no known column."""
+    events = drop_events(spark, sf_dir)
+    shifted = F.when(F.col("event_id") % 97 == 0, "1,2").otherwise(text_of(F.col("value")))
+    standby = standby_drops(events.withColumn("value", shifted))
+    twice = F.when(F.col("event_id") % 83 == 0, F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
+    priority = priority_drops(events.withColumn("early", F.explode(twice)), "early", "event_id")
+    priority = priority.withColumn(
+        "FWINMIN", F.when(F.col("early") == 1, 59 - F.col("FWINMIN")).otherwise(F.col("FWINMIN"))
+    ).withColumn("FMONTH", F.when(F.col("event_id") % 89 == 0, 13).otherwise(F.col("FMONTH")))
+    _write_families(root, standby, priority, quote="\u0000")
+    spark.range(1).coalesce(1).write.option("header", True).csv(f"{root}/wait_times/wdw/unknown")
+
+
+@query("""
+    SELECT 'standby' AS family, 'shifted_rows' AS reason, 'u' || user_id AS entity FROM events WHERE event_id % 97 = 0
+    UNION ALL SELECT 'priority', 'undated_rows', 'p' || event_id FROM events WHERE event_id % 89 = 0
+    UNION ALL SELECT 'priority', 'undated_rows', 'p' || event_id FROM events WHERE event_id % 89 = 0 AND event_id % 83 = 0""")
+def quarantine_rows(spark, sf_dir):
+    """The rows that a build left out, as it stored them."""
+    folder = _run_folder(spark)
+    write_odd_drops(spark, sf_dir, f"{folder}/export")
+    facts = FactTable(f"{folder}/fact")
+    done = build(spark, f"{folder}/export", facts, run_ts=dt.datetime.now(dt.timezone.utc))
+    entity = F.coalesce(F.get_json_object("fields", "$.entity_code"), F.get_json_object("fields", "$.FATTID"))
+    return facts.left_out(spark, done.commit.run_id).select("family", "reason", entity.alias("entity"))
+
+
 @query(f"""
-    SELECT 'new_rows' AS metric, count(*) AS value FROM ({_DROP_SQL})
-    UNION ALL SELECT 'collapsed_rows', 0 UNION ALL SELECT 'rejected_files', 0""")
+    SELECT 'new_rows' AS metric, count(*) AS value FROM ({_USABLE_SQL})
+    UNION ALL SELECT 'collapsed_rows', count(*) FROM events WHERE event_id % 83 = 0 AND event_id % 89 <> 0
+    UNION ALL SELECT 'shifted_rows', count(*) FROM events WHERE event_id % 97 = 0
+    UNION ALL SELECT 'undated_rows', count(*) + count(*) FILTER (event_id % 83 = 0) FROM events WHERE event_id % 89 = 0
+    UNION ALL SELECT 'rejected_files', 1""")
 def run_metrics(spark, sf_dir):
     """The counts that a build stores with its version."""
     folder = _run_folder(spark)
-    write_drops(spark, sf_dir, f"{folder}/export")
+    write_odd_drops(spark, sf_dir, f"{folder}/export")
     facts = FactTable(f"{folder}/fact")
     build(spark, f"{folder}/export", facts, run_ts=dt.datetime.now(dt.timezone.utc))
     stored = facts.history(spark).select(F.explode("metrics").alias("metric", "value"))
-    return stored.filter(F.col("metric").isin("new_rows", "collapsed_rows", "rejected_files"))
+    return stored.filter(~F.col("metric").isin("standby_files", "priority_files"))
 
 
 @query(_DROP_SQL)

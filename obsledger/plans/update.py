@@ -13,6 +13,7 @@ from obsledger.plans.build import (
     RunResult,
     build_from,
     bytes_of,
+    keep_left_out,
     listing_mark,
     metrics_of,
     set_aside,
@@ -73,12 +74,13 @@ def update_from(
             sample_k=sample_k,
             sample_seed=sample_seed,
         )
-    drops = plan_drops(spark, files, zones=zones, opener=opener)
+    drops = plan_drops(spark, files, zones=zones, opener=opener, quoted_breaks=not rules.multi_line)
     set_aside(spark, table, run_id, drops, files)
     work = run_session(spark, bytes_of(files))
     observed = observe(work, drops, rules)
     staged = f"{table.staging_path(run_id)}/candidates"
     write_facts(distinct_rows(observed.rows), staged)
+    keep_left_out(spark, table, run_id, drops, observed, rules)
     candidates = read_facts(work, staged)
     extent = measure(candidates)
 

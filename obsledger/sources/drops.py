@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from obsledger.sources.headers import (
     spread,
 )
 from obsledger.sources.manifest import escape_glob, route, with_zone, zone_dimension
+from obsledger.sources.quoted import QuotedFiles, broken_files, problems_of
 
 EXTRA_FIELD = "extra_field"
 FILE = "file"
@@ -41,10 +42,18 @@ class Layout:
 
 @dataclass
 class DropSet:
-    """Files to read by layout, and the files set aside with their reason."""
+    """Files to read by layout, those of them whose records run over lines, and the files set aside with their reason."""
 
     layouts: dict[Layout, list[str]]
     rejected: list[tuple[str, str]]
+    broken: set[str] = field(default_factory=set)
+
+    def parts(self) -> Iterator[tuple[Layout, list[str], bool]]:
+        """Layout, files, and whether their records run over lines."""
+        for layout, paths in self.layouts.items():
+            for broken in (False, True):
+                if some := [p for p in paths if (p in self.broken) == broken]:
+                    yield layout, some, broken
 
     def shared_folder(self) -> str:
         return shared_folder(p for paths in self.layouts.values() for p in paths)
@@ -62,9 +71,13 @@ def plan_drops(
     *,
     zones: dict[str, str] | None = None,
     opener: ReadHead = read_head,
+    quoted_breaks: bool = True,
 ) -> DropSet:
     """Probe the listed files and group them by layout and zone.
 
+    ``quoted_breaks`` reads the files once as text to find those with quoted line breaks, and sets aside those whose
+    quotes do not close; without it such files must be read with ``multi_line``.
+
     What reaches the driver is one short row per file, never a row of data: the
     list of paths that Spark's own file index for the read holds there anyway.
     A file that cannot be opened, or whose store pyarrow does not know, is set
@@ -80,7 +93,15 @@ def plan_drops(
             continue
         key = Layout(row.family, row.zone, row.shape, tuple(row.positions), row.width)
         layouts[key].append(row.path)
-    return DropSet(dict(layouts), rejected)
+    drops = DropSet(dict(layouts), rejected)
+    if quoted_breaks:
+        drops.broken = broken_files(spark, [p for paths in layouts.values() for p in paths])
+        problems = problems_of(spark, sorted(drops.broken), _order_in_file(spark))
+        drops.rejected += sorted(problems.items())
+        drops.broken -= set(problems)
+        kept = {k: [p for p in paths if p not in problems] for k, paths in layouts.items()}
+        drops.layouts = {k: paths for k, paths in kept.items() if paths}
+    return drops
 
 
 def shared_folder(paths: Iterable[str]) -> str:
@@ -127,6 +148,22 @@ def _order_in_file(spark: SparkSession):
     return F.shiftleft(split, 33).bitwiseOR(row)
 
 
+def _schema(layout: Layout) -> T.StructType:
+    names = [f"c{i}" for i in range(layout.width)] + [EXTRA_FIELD] * (layout.shape == HEADERED)
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
+
+
+def _quoted_rows(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
+    """Fields of the records of files with quoted line breaks, with FILE and FILE_ORDER."""
+    records = QuotedFiles(spark, paths, _order_in_file(spark)).records()
+    columns = ", ".join(f"{name} string" for name in _schema(layout).fieldNames())
+    fields = F.from_csv("record", columns, CSV_OPTIONS)
+    return records.select(FILE, FILE_ORDER, fields.alias("__fields")).select(FILE, FILE_ORDER, "__fields.*")
+
+
 def scan_layout(
     spark: SparkSession,
     layout: Layout,
@@ -135,43 +172,38 @@ def scan_layout(
     ordered: bool = False,
     multi_line: bool = False,
     ignore_missing: bool = False,
-    keep_extra: bool = False,
+    broken: bool = False,
     shared: str = "",
 ) -> DataFrame:
     """Read the files of one layout as all-string columns by canonical name.
 
     Line 1 of each file is dropped and columns bind by position. Headered files
-    get one more field than their header names: a value there means the row is
-    shifted, so it is left out (``keep_extra`` returns only those rows).
-    Undecodable bytes become U+FFFD. Unneeded columns are pruned by the parser.
+    get one more field than their header names, EXTRA_FIELD: a value there means that the row is
+    shifted. Undecodable bytes become U+FFFD. Unneeded columns are pruned by the parser.
+    ``broken``: records of these files may run over lines, see ``quoted``.
     """
-    headered = layout.shape == HEADERED
-    names = [f"c{i}" for i in range(layout.width)] + ([EXTRA_FIELD] if headered else [])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multi_line)
-        .option("ignoreMissingFiles", ignore_missing)
-        .csv([escape_glob(p) for p in paths])
-    )
+    if broken and not multi_line:
+        df = _quoted_rows(spark, layout, paths)
+        path, order = F.col(FILE), F.col(FILE_ORDER)
+    else:
+        df = (
+            spark.read.schema(_schema(layout))
+            .options(header=True, encoding="UTF-8", **CSV_OPTIONS)
+            .option("multiLine", multi_line)
+            .option("ignoreMissingFiles", ignore_missing)
+            .csv([escape_glob(p) for p in paths])
+        )
+        path, order = F.col("_metadata.file_path"), _order_in_file(spark)
     wanted = STANDBY_COLUMNS if layout.family == STANDBY else PRIORITY_COLUMNS
     columns = [
         (F.col(f"c{at}") if at >= 0 else F.lit(None).cast("string")).alias(name)
         for name, at in zip(wanted, layout.positions)
     ]
     if ordered:
-        columns += [
-            _shorten(F.col("_metadata.file_path"), shared).alias(FILE),
-            _order_in_file(spark).alias(FILE_ORDER),
-        ]
-    if not headered:
-        df = df.select(*columns)
-        return df.filter(F.lit(False)) if keep_extra else df
-    extra = F.col(EXTRA_FIELD).isNotNull()
-    return df.select(*columns, EXTRA_FIELD).filter(extra if keep_extra else ~extra).drop(
-        EXTRA_FIELD
-    )
+        columns += [_shorten(path, shared).alias(FILE), order.alias(FILE_ORDER)]
+    return df.select(*columns, *[EXTRA_FIELD] * (layout.shape == HEADERED))
+
+
+def is_shifted(df: DataFrame) -> Column:
+    """Rows with more fields than their header."""
+    return F.col(EXTRA_FIELD).isNotNull() if EXTRA_FIELD in df.columns else F.lit(False)

@@ -70,6 +70,18 @@ class FactTable:
                     raise
         return spark.createDataFrame([], QUARANTINE_SCHEMA)
 
+    def left_out_path(self, run_id: str) -> str:
+        return f"{self.root.rstrip('/')}/left-out/{run_id}"
+
+    def left_out(self, spark: SparkSession, run_id: str) -> DataFrame | None:
+        """(file, family, reason, fields) of the rows that a run left out; None if there were none."""
+        try:
+            return spark.read.parquet(self.left_out_path(run_id))
+        except AnalysisException as error:
+            if not is_path_missing(error):
+                raise
+            return None
+
     def unopened(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
         """Of the files set aside, those that could not be opened."""
         return self.quarantine(spark, run_id).filter(F.col("problem").startswith(UNREADABLE))

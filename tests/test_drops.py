@@ -13,7 +13,7 @@ from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.build import EmptyListing, build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
-from obsledger.plans.observe import Rules, observe, shifted_rows, undated_rows
+from obsledger.plans.observe import Rules, observe
 from obsledger.plans.report import freshness, needs_processing, watermark_of
 from obsledger.plans.update import update, update_from
 from obsledger.schema import FACT_SCHEMA, KEYS
@@ -116,10 +116,11 @@ def test_build(spark, root, tmp_path):
     assert sample[0] == KEYS and len(sample) == 1 + len(EXPECTED)
     files = os.listdir(table.segment_path(done.commit.run_id))
     assert any(f.endswith(".zstd.parquet") for f in files)
-    extra = shifted_rows(spark, done.drops).collect()
-    assert len(extra) == 1 and "MK02" in extra[0].fields
-    undated = undated_rows(spark, done.drops).collect()
-    assert len(undated) == 1 and '"FDAY":"30"' in undated[0].fields
+    assert done.commit.metrics["shifted_rows"] == done.commit.metrics["undated_rows"] == 1
+    left = {r.reason: r for r in table.left_out(spark, done.commit.run_id).collect()}
+    assert sorted(left) == ["shifted_rows", "undated_rows"]
+    assert "MK02" in left["shifted_rows"].fields and left["shifted_rows"].file.lower().endswith(".csv")
+    assert '"FDAY":"30"' in left["undated_rows"].fields and left["undated_rows"].family == "priority"
 
 
 def test_properties_and_unknown_family(spark, root, tmp_path):
