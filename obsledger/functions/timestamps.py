@@ -15,6 +15,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from obsledger.functions.text import has_offset
 from obsledger.schema import CLOCK_YEARS, REPORT_ZONE
@@ -158,7 +159,7 @@ def _from_utc(seconds: Column, zone: Column) -> Column:
 
 
 # Columns that hold intermediate steps.
-STEPS = ("__local", "__wall", "__utc", "__back", "__clock")
+STEPS = ("__local", "__wall", "__utc", "__back", "__clock", "__second")
 
 
 def computed_once(
@@ -175,6 +176,40 @@ def computed_once(
     return df.select(*rest, F.explode(F.array(value)).alias(out))
 
 
+SECOND = "__second"
+
+
+def _repeated(wall: Column, utc: Column, zone: Column, df: DataFrame) -> DataFrame:
+    """Add ``__late``, the later instant of each wall clock, and ``__repeats``, whether the clock shows it twice."""
+    # One day on, any change is complete, so the later offset applies.
+    tomorrow = utc + 86400
+    df = df.withColumn("__late", wall - (_from_utc(tomorrow, zone) - tomorrow))
+    late = F.col("__late")
+    return df.withColumn("__repeats", (late > utc) & (_from_utc(late, zone) == wall))
+
+
+def infer_second(df: DataFrame, local: str, zone: str | Column, by: list[str], order: str) -> DataFrame:
+    """Add SECOND: rows that show a repeated time for the second time, by the order of the rows of each ``by``.
+
+    Where the repeated times of a day step back exactly once along ``order``, what comes from that step on
+    is the second hour. Without such a step, or with several, nothing is inferred and the caller's rule for
+    single rows holds. Only rows of repeated hours are shuffled and ordered; equal times do not step back.
+    """
+    z = F.lit(zone) if isinstance(zone, str) else zone
+    steps = df.withColumn("__wall", epoch_minutes(F.col(local)) * 60)
+    steps = steps.withColumn("__utc", _to_utc(F.col("__wall"), z))
+    steps = _repeated(F.col("__wall"), F.col("__utc"), z, steps).drop("__wall", "__utc", "__late")
+    twice = F.coalesce(F.col("__repeats"), F.lit(False))
+    single = steps.filter(~twice).withColumn(SECOND, F.lit(False))
+    group = Window.partitionBy(*by, F.to_date(local)).orderBy(order)
+    back = F.coalesce(F.col(local) < F.lag(local).over(group), F.lit(False)).cast("int")
+    double = steps.filter(twice).withColumn("__step", back)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = group.rowsBetween(Window.unboundedPreceding, 0)
+    second = (F.sum("__step").over(whole) == 1) & (F.sum("__step").over(upto) == 1)
+    return single.unionByName(double.withColumn(SECOND, second).drop("__step")).drop("__repeats")
+
+
 def localize(
     df: DataFrame,
     local: str,
@@ -190,26 +225,25 @@ def localize(
     * A time skipped by a clock change becomes the first valid instant after
       the gap (for gaps of at most an hour, starting on the hour).
     * A repeated time takes the first occurrence (``fold="earlier"``), the
-      second (``"later"``) or gives null (``"null"``).
+      second (``"later"``) or gives null (``"null"``); with ``"infer"`` it takes the second
+      where column SECOND says so (see ``infer_second``), else the first.
 
     ``text`` may hold the ISO text of ``local`` if it is at hand, and ``result``
     may turn the finished text into what ``out`` is to hold. The steps are
     separate projections so that each is evaluated once per row, also if the
     caller filters or joins on the result.
     """
-    if fold not in ("earlier", "later", "null"):
+    if fold not in ("earlier", "later", "null", "infer"):
         raise ValueError(f"unknown fold rule: {fold}")
     z = F.lit(zone) if isinstance(zone, str) else zone
     wall, utc, back, late = F.col("__wall"), F.col("__utc"), F.col("__back"), F.col("__late")
     df = df.withColumn("__wall", epoch_minutes(F.col(local)) * 60)
     df = df.withColumn("__utc", _to_utc(wall, z))
     if fold != "earlier":
-        # One day on, any change is complete, so the later offset applies.
-        tomorrow = utc + 86400
-        df = df.withColumn("__late", wall - (_from_utc(tomorrow, z) - tomorrow))
-        repeated = (late > utc) & (_from_utc(late, z) == wall)
-        other = late if fold == "later" else F.lit(None).cast("bigint")
-        df = df.withColumn("__utc", F.when(repeated, other).otherwise(utc)).drop("__late")
+        df = _repeated(wall, utc, z, df)
+        repeated = F.col("__repeats") & (F.col(SECOND) if fold == "infer" else F.lit(True))
+        other = F.lit(None).cast("bigint") if fold == "null" else late
+        df = df.withColumn("__utc", F.when(repeated, other).otherwise(utc)).drop("__late", "__repeats")
     df = df.withColumn("__back", _from_utc(utc, z))
 
     # Inside a gap: the length of the gap after the hour in which it starts.
@@ -229,15 +263,24 @@ def localize(
 
 
 def ensure_offset(
-    df: DataFrame, column: str, zone: str | Column, *, fold: str = "earlier"
+    df: DataFrame,
+    column: str,
+    zone: str | Column,
+    *,
+    fold: str = "earlier",
+    by: list[str] | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Give every readable local time in ``column`` an offset.
 
     Texts that already carry one, and texts that cannot be read, stay as they
-    are; ``has_offset`` tells them apart afterwards.
+    are; ``has_offset`` tells them apart afterwards. ``fold="infer"`` needs ``by`` and ``order``, the
+    file of each row and its place there.
     """
     c = F.col(column)
     df = parse_local(df, column, "__local")
+    if fold == "infer":
+        df = infer_second(df, "__local", zone, by, order)
     plain = F.when(
         c.rlike(CANONICAL),
         F.concat(F.substring(c, 1, 10), F.lit("T"), F.substring(c, 12, 8)),

@@ -15,6 +15,7 @@ from obsledger.functions.text import canonical_code, null_if_na
 from obsledger.functions.timestamps import (
     computed_once,
     in_clock_range,
+    infer_second,
     local_timestamp,
     localize,
 )
@@ -170,6 +171,8 @@ def finish_priority(
     collapsed: DataFrame, zone: str, *, fold: str = "earlier"
 ) -> DataFrame:
     """Offset text and constant type: the four columns."""
+    if fold == "infer":
+        collapsed = infer_second(collapsed, "observed_local", zone, [FILE], FILE_ORDER)
     df = localize(collapsed, "observed_local", zone, "observed_at", fold=fold)
     if fold == "null":
         df = df.filter(F.col("observed_at").isNotNull())

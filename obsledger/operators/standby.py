@@ -9,6 +9,7 @@ from obsledger.functions.numeric import coerce_double, half_even, in_range
 from obsledger.functions.text import canonical_code, null_if_na, strip
 from obsledger.functions.timestamps import ensure_offset
 from obsledger.schema import ACTUAL, KEYS, POSTED
+from obsledger.sources.drops import FILE, FILE_ORDER
 
 
 def unpivot_waits(
@@ -31,7 +32,8 @@ def normalize_standby(raw: DataFrame, zone: str, *, fold: str = "earlier") -> Da
 
     The first filter looks at raw texts only: a filter on parsed values would be
     pushed below the projection and parse every row twice. Each row is localised
-    once, before it is unpivoted; the range filter then sees parsed numbers.
+    once, before it is unpivoted; the range filter then sees parsed numbers. ``fold="infer"`` needs
+    the columns FILE and FILE_ORDER.
     """
     df = raw.filter(
         null_if_na(F.col("entity_code")).isNotNull()
@@ -41,12 +43,13 @@ def normalize_standby(raw: DataFrame, zone: str, *, fold: str = "earlier") -> Da
             | F.col("submitted_actual_time").isNotNull()
         )
     ).select(
+        *[c for c in (FILE, FILE_ORDER) if c in raw.columns],
         canonical_code(F.col("entity_code")).alias("entity_code"),
         strip(F.col("observed_at")).alias("observed_at"),
         half_even(coerce_double(F.col("submitted_posted_time"))).alias("posted"),
         half_even(coerce_double(F.col("submitted_actual_time"))).alias("actual"),
     )
-    df = ensure_offset(df, "observed_at", zone, fold=fold)
+    df = ensure_offset(df, "observed_at", zone, fold=fold, by=[FILE], order=FILE_ORDER)
     long = unpivot_waits(df, ["entity_code", "observed_at"], "posted", "actual").filter(
         in_range(F.col("wait_time_minutes"))
     )

@@ -84,7 +84,7 @@ def observe(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> Obse
             layout,
             paths,
             shared=shared,
-            ordered=layout.family != STANDBY,
+            ordered=layout.family != STANDBY or rules.fold == "infer",
             broken=broken,
             **_scan_options(rules),
         )

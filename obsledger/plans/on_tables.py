@@ -30,6 +30,7 @@ from obsledger.functions.text import (
 )
 from obsledger.functions.timestamps import (
     ensure_offset,
+    infer_second,
     instant_in_utc,
     is_possible_date,
     iso_seconds,
@@ -81,7 +82,7 @@ from obsledger.sources.manifest import (
 )
 from obsledger.sources.needs import RUN_PREFIX, newest_needs, read_needs
 from obsledger.sources.table import FactTable
-from obsledger.streaming.drops import stream_updates
+from obsledger.streaming.drops import stream_rewrites, stream_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -920,6 +921,34 @@ def stream_of_drops(spark, sf_dir):
     return facts.read(spark)
 
 
+def _replace_live_files(spark: SparkSession, written: str, root: str) -> None:
+    """Move the one CSV file of each folder below ``written`` over the live file of its property."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    store = fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in store.globStatus(fs.Path(f"{written}/*/*/part-*.csv")):
+        part = found.getPath()
+        prop, family = part.getParent(), part.getParent().getParent()
+        target = fs.Path(f"{root}/{family.getName()}/{prop.getName()}/current.csv")
+        store.delete(target, False)
+        store.mkdirs(target.getParent())
+        store.rename(part, target)
+
+
+@query(_DROP_SQL)
+def stream_of_rewrites(spark, sf_dir):
+    """A stream over live files that are rewritten with all events after a run on half of them."""
+    folder = _run_folder(spark)
+    facts, events = FactTable(f"{folder}/fact"), drop_events(spark, sf_dir)
+    for k, part in enumerate((events.filter(F.col("event_id") % 2 == 0), events)):
+        frames = [make(part).repartition(1) for make in (standby_drops, priority_drops)]
+        _write_families(f"{folder}/run-{k}", *frames)
+        _replace_live_files(spark, f"{folder}/run-{k}", f"{folder}/export")
+        stream_rewrites(
+            spark, f"{folder}/export", facts, f"{folder}/checkpoint", slack_seconds=0
+        ).awaitTermination()
+    return facts.read(spark)
+
+
 @query(EVENT_FACTS)
 def restore_version(spark, sf_dir):
     """A first version, an empty second one, and the first again."""
@@ -1025,3 +1054,38 @@ def dst_fold(spark, sf_dir):
         for rule in ("earlier", "later", "null")
     ]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+# ---- the repeated hour by the order of a file's rows ------------------------------------------
+# Orders stand for rows of 40 files. Files of even numbers are in the order of true time, so the clock steps back
+# once; the others are in no order. Elapsed minutes since 00:30 pass the change at 90.
+_INFER_SQL = """
+    SELECT o_orderkey, o_custkey % 40 AS file, (o_orderkey * 7) % 180 AS elapsed,
+           CASE WHEN o_custkey % 40 % 2 = 0 THEN (o_orderkey * 7) % 180 * 100000000 + o_orderkey ELSE o_orderkey END AS place,
+           TIMESTAMP '2024-11-03 00:30:00' + to_minutes(CASE WHEN (o_orderkey * 7) % 180 < 90 THEN (o_orderkey * 7) % 180
+                                                             ELSE (o_orderkey * 7) % 180 - 60 END) AS l FROM orders"""
+
+
+@query(f"""
+    WITH r AS ({_INFER_SQL}),
+    steps AS (SELECT *, coalesce(l < lag(l) OVER (PARTITION BY file ORDER BY place), false)::INT AS step
+              FROM r WHERE l >= TIMESTAMP '2024-11-03 01:00:00' AND l < TIMESTAMP '2024-11-03 02:00:00'),
+    seconds AS (SELECT o_orderkey, sum(step) OVER (PARTITION BY file) = 1
+                       AND sum(step) OVER (PARTITION BY file ORDER BY place) = 1 AS second FROM steps)
+    SELECT r.o_orderkey, strftime(l, '%Y-%m-%dT%H:%M:%S') || CASE
+        WHEN l < TIMESTAMP '2024-11-03 02:00:00' AND NOT coalesce(second, false) THEN '-04:00' ELSE '-05:00' END AS observed_at
+    FROM r LEFT JOIN seconds s ON s.o_orderkey = r.o_orderkey""")
+def dst_inferred(spark, sf_dir):
+    elapsed = (F.col("o_orderkey") * 7 % 180).cast("int")
+    shown = F.when(elapsed < 90, elapsed).otherwise(elapsed - 60)
+    in_order = F.col("o_custkey") % 40 % 2 == 0
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        (F.col("o_custkey") % 40).alias("file"),
+        F.when(in_order, elapsed * F.lit(100000000).cast("bigint") + F.col("o_orderkey"))
+        .otherwise(F.col("o_orderkey"))
+        .alias("place"),
+        (F.expr("timestamp_ntz'2024-11-03 00:30:00'") + F.make_dt_interval(F.lit(0), F.lit(0), shown)).alias("l"),
+    )
+    found = localize(infer_second(rows, "l", NEW_YORK, ["file"], "place"), "l", NEW_YORK, "observed_at", fold="infer")
+    return found.select("o_orderkey", "observed_at")

@@ -2,9 +2,8 @@
 
 The stream carries file names, not rows: each micro-batch is a small manifest
 that goes through the same update as the daily chain, so headers are probed
-and layouts grouped exactly alike. The file source never reports a path twice,
-also if the file was rewritten; live files that change in place belong to the
-manifest-driven update.
+and layouts grouped exactly alike. Spark's file source never reports a path twice;
+``stream_rewrites`` takes files that change in place again whenever they do.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obsledger.plans.update import update_from
+from obsledger.sources.changes import changed_files
 from obsledger.sources.table import FactTable
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -50,6 +50,28 @@ def stream_updates(
     manifest-driven update stays where it was.
     """
 
+    return _merged(drop_stream(spark, glob, max_files=max_files), table, checkpoint, options)
+
+
+def stream_rewrites(
+    spark: SparkSession,
+    root: str,
+    table: FactTable,
+    checkpoint: str,
+    *,
+    slack_seconds: float = 1,
+    **options,
+) -> StreamingQuery:
+    """Merge every CSV file below ``root`` that was written since the last run, rewritten ones included, then stop.
+
+    Rows of a rewritten file that the table holds already are not added again; rows that
+    the file no longer has stay, as in the manifest-driven update.
+    """
+    files = changed_files(spark, root, slack_seconds=slack_seconds)
+    return _merged(files, table, checkpoint, options)
+
+
+def _merged(files: DataFrame, table: FactTable, checkpoint: str, options: dict) -> StreamingQuery:
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         update_from(
             batch.sparkSession,
@@ -60,8 +82,7 @@ def stream_updates(
         )
 
     return (
-        drop_stream(spark, glob, max_files=max_files)
-        .writeStream.foreachBatch(merge_batch)
+        files.writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -25,7 +25,8 @@ from obsledger.sources.headers import read_head
 from obsledger.sources.manifest import scan_drops, scan_objects, timestamp_literal
 from obsledger.sources.needs import newest_needs, read_needs, resolve_keys
 from obsledger.sources.table import ConflictingPublish, FactTable, parquet_modified, read_facts
-from obsledger.streaming.drops import stream_updates
+from obsledger.sources.changes import ChangedFilesReader
+from obsledger.streaming.drops import stream_rewrites, stream_updates
 
 UTC = dt.timezone.utc
 NOW = dt.datetime(2024, 8, 1, 12, 0, 0, tzinfo=UTC)
@@ -527,3 +528,51 @@ def test_widths_do_not_change_rows(spark, root):
     for n in ("2", "500"):
         own = session_with(spark, {"spark.sql.shuffle.partitions": n})
         assert rows(distinct_rows(observe(own, drops).rows)) == EXPECTED
+
+
+def test_stream_takes_rewritten_files_again(spark, tmp_path):
+    r, table = str(tmp_path / "export"), FactTable(str(tmp_path / "fact"))
+    head = "entity_code,observed_at,submitted_posted_time\n"
+    line = "{},2024-07-01 10:00:00,{}\n".format
+
+    def run():
+        stream_rewrites(spark, r, table, str(tmp_path / "cp"), slack_seconds=0).awaitTermination()
+        return sorted((e, m) for e, _, _, m in rows(table.read(spark)))
+
+    put(r, "wait_times/wdw/current.csv", head + line("A", 1))
+    put(r, "wait_times/wdw/old.CSV", head + line("B", 2))
+    put(r, "wait_times/wdw/notes.txt", head + line("X", 9))
+    assert run() == [("A", 1), ("B", 2)]
+    put(r, "wait_times/wdw/current.csv", head + line("A", 1) + line("A", 3))
+    assert run() == [("A", 1), ("A", 3), ("B", 2)]
+    version = table.commit(spark).version
+    assert run() == [("A", 1), ("A", 3), ("B", 2)] and table.commit(spark).version == version
+
+
+def test_changed_files_are_cut_by_time_and_path(tmp_path):
+    at = [NOW - dt.timedelta(seconds=s) for s in (50, 40, 40, 30)]
+    for name, t in zip("abcd", at, strict=True):
+        put(str(tmp_path), f"{name}.csv", name, mtime=t)
+    reader = ChangedFilesReader(str(tmp_path), ".csv", 1)
+    end = reader.latestOffset()
+    read = lambda start: [os.path.basename(r[0]) for p in reader.partitions(start, end) for r in reader.read(p)]
+    assert read(reader.initialOffset()) == ["a.csv", "b.csv", "c.csv", "d.csv"]
+    b = {"time": int(at[1].timestamp() * 1e9), "path": str(tmp_path / "b.csv")}
+    assert read(b) == ["c.csv", "d.csv"] and read(end) == []
+    assert ChangedFilesReader(str(tmp_path / "none"), ".csv", 1).latestOffset() == reader.initialOffset()
+
+
+def test_repeated_hour_by_the_order_of_a_file(spark, tmp_path):
+    r = str(tmp_path / "export")
+    times = ["00:50", "01:10", "01:50", "01:05", "01:40", "02:10"]
+    lines = "".join(f"A,2024-11-03 {t}:00,{k}\n" for k, t in enumerate(times))
+    put(r, "wait_times/wdw/a.csv", "entity_code,observed_at,submitted_posted_time\n" + lines)
+    mixed = "".join(f"B,2024-11-03 {t}:00,{k}\n" for k, t in enumerate(["01:50", "01:10", "01:40", "01:20"]))
+    put(r, "wait_times/wdw/b.csv", "entity_code,observed_at,submitted_posted_time\n" + mixed)
+    priority = "".join(f"P,3,11,2024,{h},{m},{h},{m}\n" for h, m in ((1, 30), (1, 0), (2, 0)))
+    put(r, "fastpass_times/wdw/p.csv", HEAD + "\n" + priority)
+    got = rows(observe(spark, plan_drops(spark, scan_drops(spark, r)), Rules(fold="infer")).rows)
+    offset = {(e, m if e != "P" else at[11:16]): at[19:] for e, at, _, m in got}
+    assert [offset["A", k] for k in range(6)] == ["-04:00"] * 3 + ["-05:00"] * 3
+    assert {offset["B", k] for k in range(4)} == {"-04:00"}
+    assert [offset["P", t] for t in ("01:30", "01:00", "02:00")] == ["-04:00", "-05:00", "-05:00"]
