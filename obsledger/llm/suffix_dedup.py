@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -26,9 +26,9 @@ LENGTH = 400
 CELL = 32
 """Windows of an anchor are decided in cells of so many start offsets before they are taken one by one."""
 
-ANCHORS = "_doc bigint, _v int, i int, at int, first int, last int, reach int, rank bigint, whole bigint"
-CELLS = "_doc bigint, _v int, at int, lo int, hi int, mine boolean, core bigint, cell bigint"
-WINDOWS = "_doc bigint, _v int, lo int, mine boolean, window bigint"
+ANCHORS = "_doc bigint, _v bigint, i int, at int, first int, last int, reach int, rank bigint, whole bigint"
+CELLS = "_doc bigint, _v bigint, at int, lo int, hi int, mine boolean, core bigint, cell bigint"
+WINDOWS = "_doc bigint, _v bigint, lo int, mine boolean, window bigint"
 REMOVED = T.StructType(
     [
         T.StructField("kept", T.BinaryType()),
@@ -61,12 +61,12 @@ def _salt(h: np.ndarray, *numbers: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A document is known by its id and a hash of its text, so rows of one id stay apart."""
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("_doc"),
-        F.hash(text_col).alias("_v"),
-        F.col(text_col).alias("_text"),
-    )
+    """A document is known by 128 bits of its id and text, so rows of one id, or of none, stay apart."""
+    return docs.select(*_key(id_col, text_col), F.col(text_col).alias("_text"))
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
+    return [F.xxhash64(id_col, text_col).alias("_doc"), F.xxhash64(text_col, F.lit(7)).alias("_v")]
 
 
 def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
@@ -93,7 +93,7 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
                 end = np.where(own, last + length, first)
                 whole = _salt(span_hashes(sums, first, end), at - first, last - first)
                 ints = [pa.array(x.astype(np.int32)) for x in (np.arange(m), at, first, last, reach)]
-                fixed = [pa.array(np.full(m, doc, np.int64)), pa.array(np.full(m, v, np.int32))]
+                fixed = [pa.array(np.full(m, doc, np.int64)), pa.array(np.full(m, v, np.int64))]
                 arrays = [*fixed, *ints, _signed(rank), _signed(whole)]
                 if m > 1:
                     yield pa.RecordBatch.from_arrays(arrays, names=names).slice(0, m - 1)
@@ -101,15 +101,16 @@ def anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.mapInArrow(run, ANCHORS)
 
 
-def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key another row has too. Counted per task before the shuffle."""
+def _repeated(rows: DataFrame, key: str, scratch: Scratch, name: str) -> DataFrame:
+    """Rows whose key another row has too. Counted per task before the shuffle; the counts are
+    written, so that each side of the join has an exchange of its own and Spark can split a hot key."""
     held = rows.groupBy(key).agg(F.count("*").alias("_held")).where("_held > 1").drop("_held")
-    return rows.join(held, key)
+    return rows.join(scratch.keep(held, f"{name}-{key}-held"), key)
 
 
 def doubled(anchors: DataFrame, scratch: Scratch) -> DataFrame:
     """The anchors whose phrases, as far as its windows share them, are repeated, by prefix doubling."""
-    rows, step = scratch.keep(_repeated(anchors, "rank"), "rank-1"), 1
+    rows, step = scratch.keep(_repeated(anchors, "rank", scratch, "1"), "rank-1"), 1
     done = rows.where("reach = 1")
     while rows.where(F.col("reach") >= 2 * step).limit(1).count():
         on = F.max("rank").over(
@@ -124,18 +125,20 @@ def doubled(anchors: DataFrame, scratch: Scratch) -> DataFrame:
             .drop("_on")
         )
         step *= 2
-        rows = scratch.keep(_repeated(paired, "rank"), f"rank-{step}")
+        rows = scratch.keep(_repeated(paired, "rank", scratch, str(step)), f"rank-{step}")
         done = done.unionByName(rows.where(F.col("reach").between(step, 2 * step - 1)))
     return done
 
 
-def _marked(rows: DataFrame, key: str, place: list[str]) -> DataFrame:
+def _marked(rows: DataFrame, key: str, place: list[str], scratch: Scratch) -> DataFrame:
     """Rows with ``_held``, how many have the key, and ``_lead``, true for one of them."""
     stats = rows.groupBy(key).agg(
         F.count("*").alias("_held"), F.min(F.struct(*place)).alias("_first")
     )
-    lead = F.struct(*place) == F.col("_first")
-    return rows.join(stats, key).withColumn("_lead", lead).drop("_first")
+    stats = scratch.keep(stats.where("_held > 1"), f"{key}-stats")
+    lead = F.coalesce(F.struct(*place) == F.col("_first"), F.lit(True))
+    marked = rows.join(stats, key, "left").withColumn("_lead", lead).drop("_first")
+    return marked.withColumn("_held", F.coalesce("_held", F.lit(1)))
 
 
 def _beside_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -160,7 +163,7 @@ def _per_text(held: DataFrame, schema: str, spans) -> DataFrame:
                 mine = fields.field(3).to_numpy(zero_copy_only=False)
                 arrays = spans(running_sums(_raw(text)), at, lo, hi, mine)
                 m = len(arrays[0])
-                fixed = [pa.array(np.full(m, doc, np.int64)), pa.array(np.full(m, v, np.int32))]
+                fixed = [pa.array(np.full(m, doc, np.int64)), pa.array(np.full(m, v, np.int64))]
                 yield pa.RecordBatch.from_arrays([*fixed, *arrays], names=names)
 
     return held.mapInArrow(run, schema)
@@ -206,7 +209,7 @@ def repeated_spans(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     texts = _keyed(docs, id_col, text_col)
     anchors = scratch.keep(anchor_rows(texts, length), "anchors")
     places = doubled(anchors, scratch).where("first <= last")
-    places = scratch.keep(_marked(places, "whole", ["_doc", "_v", "i"]), "places")
+    places = scratch.keep(_marked(places, "whole", ["_doc", "_v", "i"], scratch), "places")
     scratch.drop("anchors")
     span = lambda rows: rows.select("_doc", "_v", "lo", (F.col("hi") + length).alias("hi"))
     ranged = places.withColumnRenamed("first", "lo").withColumnRenamed("last", "hi")
@@ -218,7 +221,7 @@ def repeated_spans(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     held = scratch.keep(_beside_texts(alone, texts), "texts")
     cells = scratch.keep(_per_text(held, CELLS, _cells(length)), "cells")
     cells = scratch.keep(
-        _marked(_repeated(cells, "core"), "cell", ["_doc", "_v", "at"]), "marked-cells"
+        _marked(_repeated(cells, "core", scratch, "cells"), "cell", ["_doc", "_v", "at"], scratch), "marked-cells"
     )
     found = found.unionByName(span(cells.where("mine and _held > 1")))
     split = cells.where("mine and _held = 1")
@@ -226,7 +229,7 @@ def repeated_spans(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     others = others.join(split.select("core").distinct(), "core", "left_semi")
     split = split.unionByName(others)
     single = _per_text(_beside_texts(split, held.drop("_rows")), WINDOWS, _windows(length))
-    single = _repeated(scratch.keep(single, "windows"), "window").where("mine")
+    single = _repeated(scratch.keep(single, "windows"), "window", scratch, "windows").where("mine")
     return found.unionByName(span(single.withColumn("hi", F.col("lo"))))
 
 
@@ -237,7 +240,8 @@ def drop_repeated_strings(
 
     Removed is each UTF-8 byte that a string of ``length`` bytes covers which also starts somewhere
     else, in the same document or another; strings overlap, are judged on the input and do
-    not cross documents. Names are 64-bit hashes of strings of one kind; no other step is inexact.
+    not cross documents. Names are 64-bit hashes of strings of one kind, and documents are told apart by
+    128-bit hashes; no other step is inexact.
 
     Null and empty texts, and texts shorter than ``length``, lose nothing. Rows of one id and
     text are documents of their own and repeat each other. Rows without id are treated
@@ -248,13 +252,11 @@ def drop_repeated_strings(
         .groupBy("_doc", "_v")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("_spans"))
     )
-    keyed = (
-        docs.withColumn("_id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))))
-        .withColumn("_hash", F.hash(text_col))
-    )
+    one, two = _key(id_col, text_col)
+    keyed = docs.withColumn("_one", one).withColumn("_two", two)
     joined = keyed.join(
-        spans, (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_v")), "left"
-    ).drop("_id", "_hash", "_doc", "_v")
+        spans, (F.col("_one") == F.col("_doc")) & (F.col("_two") == F.col("_v")), "left"
+    ).drop("_one", "_two", "_doc", "_v")
 
     def make():
         def columns(batch: pa.RecordBatch) -> list:

@@ -89,3 +89,18 @@ def test_every_window_has_one_anchor_and_a_phrase():
             has = np.flatnonzero(a.first <= a.last)
             assert has.max() < len(a.at) - 1 and (np.diff(a.at) <= width).all()
             assert (a.at[has + 1] <= a.at[has] + length - 16 - 2 * width + 2).all()
+
+
+def test_texts_of_equal_short_hashes_stay_apart(spark):
+    """Rows without id, or of one id, whose texts have one 32-bit hash: of equal and of different length."""
+    made = spark.range(160_000).selectExpr(
+        "id", "repeat(concat('x', id, '-', id * 7919, '; '), cast(10 + id % 2 as int)) as text"
+    )
+    found = made.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("texts"))
+    pairs = [r.texts for r in found.where(F.size("texts") > 1).collect()]
+    assert len(pairs) > 1
+    for one in (None, 7):
+        for a, b, *_ in pairs[:3]:
+            once = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(300)) + b
+            rows = [(one, a), (one, b), (one, a), (one, once)]
+            assert collected(drop_repeated_strings(documents(spark, rows), 60)) == brute(rows, 60)
