@@ -35,53 +35,57 @@ def drop_repeated_lines(
     it, with all its occurrences there, and goes elsewhere; other lines stay in
     their order.
 
-    Only ids and hashes are shuffled to count, and written once; a key is combined per task
-    first, so a line of a third of all documents is no hot group. A null or
+    Only ids, positions and hashes are shuffled to count, and written once; a key is combined per task
+    first, so a line of a third of all documents is no hot group. The positions that a document loses
+    are gathered, and its other lines joined by position, in time that grows with its lines. A null or
     empty text is one empty line, and the text that comes out is never null.
     Rows of one id are one document. A row without id is compared with
     nothing and keeps its lines. Further columns pass through; columns
     ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    held = (
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = F.split(text, "\n", -1)
+    # A row's text is told by 128 bits: rows of one id may differ.
+    row = [F.col(id_col).alias("_doc"), F.xxhash64(text).alias("_a"), F.xxhash64(text, F.lit(7)).alias("_b")]
+    # Both sides of the joins below are read from written tables, so that each has an exchange
+    # of its own and Spark can split the rows of a line that very many documents hold.
+    scratch = Scratch(docs.sparkSession, "lines")
+    placed = (
         docs.where(F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("_doc"), F.explode(lines).alias("_line"))
-        .select("_doc", line_key(F.col("_line")).alias("_key"))
+        .select(*row, F.posexplode(lines).alias("_at", "_line"))
+        .withColumn("_key", line_key(F.col("_line")))
         .where(F.char_length("_key") >= min_chars)
-        .select("_doc", key_hash(F.col("_key")).alias("_hash"))
-        .distinct()
+        .select("_doc", "_a", "_b", "_at", key_hash(F.col("_key")).alias("_hash"))
     )
-    # Both sides of the join below are read from written tables, so that each has an exchange
-    # of its own and Spark can split the rows of a line that very many documents hold.
-    scratch = Scratch(docs.sparkSession, "lines")
-    held = scratch.keep(held, "held")
+    placed = scratch.keep(placed, "placed")
     repeated = (
-        held.groupBy("_hash")
+        placed.select("_doc", "_hash").distinct()
+        .groupBy("_hash")
         .agg(F.count("*").alias("_docs"), F.min("_doc").alias("_first"))
         .where(F.col("_docs") >= min_docs)
         .select("_hash", "_first")
     )
     repeated = scratch.keep(repeated, "repeated")
     drops = (
-        held.join(repeated, "_hash")
+        placed.join(repeated, "_hash")
         .where(F.col("_doc") != F.col("_first"))
-        .groupBy("_doc")
-        .agg(F.collect_list("_hash").alias("_drops"))
+        .groupBy("_doc", "_a", "_b")
+        .agg(F.collect_set("_at").alias("_drops"))
     )
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("_drops"), key_hash(key))
-
-    joined = docs.drop("n_lines", "n_dropped").join(
-        drops, F.col(id_col) == F.col("_doc"), "left"
+    drops = scratch.keep(drops, "drops")
+    keys = [c.alias(f"_own{k}") for k, c in enumerate(row)]
+    joined = docs.drop("n_lines", "n_dropped").select("*", *keys).join(
+        drops,
+        (F.col("_own0") == F.col("_doc")) & (F.col("_own1") == F.col("_a")) & (F.col("_own2") == F.col("_b")),
+        "left",
     )
-    kept = F.when(F.col("_drops").isNull(), F.col("_lines")).otherwise(F.filter("_lines", stays))
+    # A generator's output is computed once, also where it is read for every position.
+    joined = joined.select("*", F.explode(F.array(lines)).alias("_lines"))
+    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    kept = F.transform(F.array_except(places, F.col("_drops")), lambda i: F.get("_lines", i))
     return (
-        joined.withColumn("_lines", lines)
-        .withColumn("_kept", kept)
-        .withColumn(text_col, F.array_join("_kept", "\n"))
+        joined.withColumn(text_col, F.when(F.col("_drops").isNull(), text).otherwise(F.array_join(kept, "\n")))
         .withColumn("n_lines", F.size("_lines").cast("bigint"))
-        .withColumn("n_dropped", (F.size("_lines") - F.size("_kept")).cast("bigint"))
-        .drop("_doc", "_drops", "_lines", "_kept")
+        .withColumn("n_dropped", F.coalesce(F.size("_drops"), F.lit(0)).cast("bigint"))
+        .drop("_own0", "_own1", "_own2", "_doc", "_a", "_b", "_drops", "_lines")
     )

@@ -70,3 +70,10 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = drop_repeated_lines(documents(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_many_lines_of_one_document(spark):
+    n = 100_000
+    shared = [f"this line {i % 50} is in both" for i in range(n)]
+    rows = [(1, "\n".join(shared)), (2, "\n".join(["own", *shared, "last"])), (2, "own\n" + shared[7]), (3, "x\n" * n)]
+    assert collected(drop_repeated_lines(documents(spark, rows))) == brute(rows)
