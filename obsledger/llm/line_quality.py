@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from obsledger.llm.rolling import running_sums, span_hashes
 from obsledger.llm.shingles import SPACE
@@ -244,23 +245,32 @@ def fit_on_labels(
 ) -> Model:
     """The model of ``labels`` outside the held-out ids, fitted on at most ``per_class`` documents of each label.
 
-    Only the sample's line features come to the driver: at most 2 x per_class x max_lines rows of
-    36 numbers. Null ids and labels are left out; of rows with one id, each counts.
+    Documents of fewer than ``max_lines`` lines come first, by a hash of the id; longer ones are taken where these are
+    too few, whole, as long as the label's lines are at most per_class x max_lines. Only the sample's line features
+    come to the driver: at most 2 x per_class x max_lines rows of 36 numbers. Null ids and labels are left
+    out; of rows with one id, one text counts, once for each of its labels.
+    A label that the table has but the sample misses, since its documents are longer than that, is a ValueError.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
+    usable = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    n_lines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    # What stands for a document: its lines and the hash of its text; of several rows the shortest.
+    rows = docs.select(F.col(id_col).alias("_id"), F.struct(n_lines.alias("n"), F.xxhash64(text).alias("h")).alias("_row"))
+    rows = usable.join(rows, "_id").groupBy("_id", "_label").agg(F.min("_row").alias("_row"))
+    order = [F.col("_row.n") > max_lines, F.xxhash64("_id"), F.col("_id")]
     picks = None
     for label in (0, 1):
-        some = (
-            usable.where(F.col(label_col) == label)
-            .select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-            .orderBy(F.xxhash64("_id"), "_id")
-            .limit(per_class)
-        )
+        some = rows.where(F.col("_label") == label).orderBy(*order).limit(per_class)
         picks = some if picks is None else picks.unionByName(some)
+    lines = F.sum("_row.n").over(Window.partitionBy("_label").orderBy(*order))  # of at most per_class rows
+    picks = picks.withColumn("_lines", lines).where(F.col("_lines") <= per_class * max_lines)
+    picks = picks.select("_id", "_label", F.col("_row.h").alias("_h"))
     sample = (
-        docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-        .join(F.broadcast(picks), "_id")  # at most 2 x per_class rows
-        .where(F.char_length("_text") - F.char_length(F.replace("_text", F.lit("\n"), F.lit(""))) < max_lines)
+        docs.select(F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_h"))
+        .join(F.broadcast(picks), ["_id", "_h"])  # at most 2 x per_class rows
+        .dropDuplicates(["_id", "_label"])
+        .drop("_h")
     )
     numbers = T.ArrayType(T.DoubleType())
     schema = T.StructType(
@@ -286,6 +296,10 @@ def fit_on_labels(
         return columns
 
     rows = map_rows(sample, schema, make).toArrow().sort_by([("_id", "ascending"), ("_label", "ascending")])
+    lost = {0, 1} - set(rows.column("_label").to_pylist())
+    known = usable.where(F.col("_label").isin(*lost)).join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi")
+    if lost and known.limit(1).count():
+        raise ValueError(f"all documents of label {lost} have more than {per_class * max_lines} lines")
     width = 3 * len(FEATURES)
     features = [np.array(x.as_py()).reshape(-1, width) for x in rows.column("features")]
     lengths = [np.array(x.as_py()) for x in rows.column("lengths")]

@@ -81,3 +81,38 @@ def test_one_class_or_no_labels(spark):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int")
     model = fit_on_labels(documents(spark, [(1, "x")]), none)
     assert score_documents(documents(spark, []), model).count() == 0
+
+
+def _labels(spark, pairs):
+    return spark.createDataFrame(pairs, "doc_id long, quality int")
+
+
+def _fitted(monkeypatch):
+    seen = []
+    monkeypatch.setattr("obsledger.llm.line_quality.fit", lambda features, lengths, labels: seen.append((features, labels)))
+    return seen
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark, monkeypatch):
+    seen = _fitted(monkeypatch)
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(learnt[0], f"text {k}") for k in range(3000)] + [(learnt[1], "same text")] * 500 + [(i, "t") for i in learnt[2:]]
+    labels = [(i, k % 2) for k, i in enumerate(learnt)] * 2
+    fit_on_labels(documents(spark, rows), _labels(spark, labels), per_class=len(learnt))
+    assert sorted(seen[0][1]) == sorted(k % 2 for k, _ in enumerate(learnt))
+
+
+def test_long_documents_do_not_lose_a_label(spark, monkeypatch):
+    seen = _fitted(monkeypatch)
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:40]
+    rows = [(i, "long\n" * 299 + "end" if k < 20 else "bad") for k, i in enumerate(learnt)]
+    labels = _labels(spark, [(i, int(k < 20)) for k, i in enumerate(learnt)])
+    fit_on_labels(documents(spark, rows), labels, per_class=30)
+    features, found = seen[0]
+    assert found.count(0) == found.count(1) == 20
+    # Whole documents, as long as their lines fit: 6,000 of 300 each.
+    fit_on_labels(documents(spark, rows), labels, per_class=12)
+    features, found = seen[1]
+    assert found.count(0) == 12 and found.count(1) == 8 and sum(map(len, features)) == 12 + 8 * 300
+    with pytest.raises(ValueError, match="all documents of label"):
+        fit_on_labels(documents(spark, rows), labels, per_class=1)
