@@ -18,7 +18,10 @@ from obsledger.llm.tables import add_columns, texts_of
 
 # Fixed value: the public pattern that splits a text before the merges of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_WORDS = 1 << 18
+CACHED_BYTES = 8 << 20
+"""Words are kept with their ids until they have so many bytes (Python's own for each word come on top)."""
+KEPT_WORD = 64
+"""Longer words are not kept: they hardly come again."""
 LONG_WORD = 512
 """Bytes from which a word is merged alone, with a heap: rounds over all of its pairs would be many."""
 NO_RANK = np.iinfo(np.int32).max
@@ -67,6 +70,7 @@ class Bpe:
         names = "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
         self.special = regex.compile(f"({names})") if names else None
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair by binary search, NO_RANK where there is no merge."""
@@ -156,13 +160,14 @@ class Bpe:
         """Packed token ids (little-endian, 32 bits) of each text.
 
         An added token's string stands for the token wherever it is; the rest is split
-        into words. Words are kept with their ids up to a number of words.
+        into words. Short words are kept with their ids up to a number of bytes.
         """
         split, added = self.split.findall, self.added
         parts: list[list[list[str] | bytes]] = []
         new: set[str] = set()
-        if len(self.known) > CACHED_WORDS:
+        if self.known_bytes > CACHED_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         known = self.known
         for text in texts:
             pieces = self.special.split(text) if self.special else [text]
@@ -178,7 +183,13 @@ class Bpe:
         fresh = list(new)
         known.update(zip(fresh, self.merge([w.encode() for w in fresh]), strict=True))
         look = known.__getitem__
-        return [b"".join(p if isinstance(p, bytes) else b"".join(map(look, p)) for p in own) for own in parts]
+        out = [b"".join(p if isinstance(p, bytes) else b"".join(map(look, p)) for p in own) for own in parts]
+        for w in fresh:
+            if len(w) > KEPT_WORD:
+                del known[w]
+            else:
+                self.known_bytes += len(w)
+        return out
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""

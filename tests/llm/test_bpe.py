@@ -64,3 +64,14 @@ def test_broken_bytes_and_empty_tables(spark, library):
     out = {r.i: r.decoded for r in decode(spark.createDataFrame(rows, "i int, token_ids binary")).collect()}
     assert out == {1: library.decode([162, 50256, 39000], skip_special_tokens=False), 2: ""}
     assert decode(encode(documents(spark, []))).count() == 0
+
+
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr("obsledger.llm.bpe.CACHED_BYTES", 500)
+    bpe, r = Bpe(default_vocabulary()), random.Random(2)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    for _ in range(30):
+        texts = [word(n) for n in (5, 40, 64, 65, 5000)]
+        bpe.encode_batch(texts)
+        assert max(map(len, bpe.known)) <= 64 and bpe.known_bytes == sum(map(len, bpe.known)) <= 500 + 200
+    assert bpe.encode_batch(["same same " + "z" * 100] * 2)[0] == Bpe(default_vocabulary()).encode_batch(["same same " + "z" * 100])[0]
