@@ -90,9 +90,10 @@ def top_k(
     best = None
     for r in range(SEGMENT + 1):
         masks = F.split(F.lit(",".join(map(str, _masks(r)))), ",").cast("array<int>")
+        # Dealt out before each row becomes thousands.
         probes = still.select(
             *q, "_worst", "_last", F.posexplode(F.array(*q)).alias("segment", "_own")
-        ).select(
+        ).repartition(*q, "segment").select(
             *q, "_worst", "_last", "segment",
             F.explode(F.transform(masks, lambda x: F.col("_own").bitwiseXOR(x))).alias("value"),
         )
