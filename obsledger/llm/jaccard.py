@@ -185,6 +185,8 @@ class _Join:
             .where("_held > 1")
             .select("_band", F.col("_first._key").alias("_lead"))
         )
+        # Written, so that each side of the join has an exchange of its own and a hot band can be split.
+        buckets = self.scratch.keep(buckets, "buckets")
         # To the bucket's first member only: a bucket of n rows gives n - 1 edges.
         edges = banded.join(buckets, "_band").select(F.col("_lead").alias("a"), F.col("_key").alias("b"))
         found = components(edges, self.scratch, "candidates")
