@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 from importlib.util import find_spec
 from pathlib import Path
@@ -22,6 +23,8 @@ CACHED_BYTES = 8 << 20
 """Words are kept with their ids until they have so many bytes (Python's own for each word come on top)."""
 KEPT_WORD = 64
 """Longer words are not kept: they hardly come again."""
+GROUP_CHARS = 1 << 20
+"""Texts are encoded in groups of about so many code points; the words of a group are Python strings for a while."""
 LONG_WORD = 512
 """Bytes from which a word is merged alone, with a heap: rounds over all of its pairs would be many."""
 NO_RANK = np.iinfo(np.int32).max
@@ -203,6 +206,18 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def text_groups(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in groups of about GROUP_CHARS code points; a longer text is a group of its own."""
+    begin = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > GROUP_CHARS:
+            yield texts[begin:k]
+            begin, size = k, 0
+        size += len(text)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 IDS = T.StructType([T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
 
 
@@ -220,7 +235,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text") ->
         bpe = load(path)
 
         def columns(batch: pa.RecordBatch) -> list:
-            ids = bpe.encode_batch(texts_of(batch, text_col))
+            ids = [x for some in text_groups(texts_of(batch, text_col)) for x in bpe.encode_batch(some)]
             return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
 
         return columns

@@ -6,7 +6,7 @@ from helpers import documents, table
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from obsledger.llm.bpe import Bpe, decode, default_vocabulary, encode
+from obsledger.llm.bpe import Bpe, decode, default_vocabulary, encode, text_groups
 
 ODD = [
     "", " ", None, "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "aaa" * 50, "abc" * 3000, " " * 2000,
@@ -75,3 +75,10 @@ def test_kept_words_are_bounded_in_bytes(monkeypatch):
         bpe.encode_batch(texts)
         assert max(map(len, bpe.known)) <= 64 and bpe.known_bytes == sum(map(len, bpe.known)) <= 500 + 200
     assert bpe.encode_batch(["same same " + "z" * 100] * 2)[0] == Bpe(default_vocabulary()).encode_batch(["same same " + "z" * 100])[0]
+
+
+def test_groups_keep_the_order(monkeypatch):
+    monkeypatch.setattr("obsledger.llm.bpe.GROUP_CHARS", 10)
+    texts = ["", "abc", "x" * 30, "", "12345678", "90", "z"]
+    groups = list(text_groups(texts))
+    assert sum(groups, []) == texts and len(groups) == 4 and list(text_groups([])) == []
