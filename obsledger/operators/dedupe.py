@@ -19,8 +19,10 @@ def distinct_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.select(*names).distinct()
 
 
-def keep_last(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """Value with the greatest ``order`` per key, that order, and how many rows it stands for.
+def keep_last(
+    df: DataFrame, keys: list[str], value: str, order: str, *, keep_order: bool = False
+) -> DataFrame:
+    """Value with the greatest ``order`` per key, and how many rows it stands for; ``keep_order`` adds that order.
 
     ``order`` must be a bigint (or another fixed-width type): the buffer then
     fits a hash aggregate with map-side combine, with no sort and no window.
@@ -28,5 +30,5 @@ def keep_last(df: DataFrame, keys: list[str], value: str, order: str) -> DataFra
     return df.groupBy(*keys).agg(
         F.max_by(value, order).alias(value),
         F.count(F.lit(1)).alias("source_rows"),
-        F.max(order).alias(order),
+        *([F.max(order).alias(order)] if keep_order else []),
     )

@@ -164,6 +164,7 @@ def collapse_priority(parsed: DataFrame) -> DataFrame:
         keys=[FILE, "entity_code", "observed_local"],
         value="wait_time_minutes",
         order=FILE_ORDER,
+        keep_order=True,
     )
 
 
