@@ -9,6 +9,9 @@ from obsledger.functions.text import canonical_code, date_part, strip, year_part
 from obsledger.functions.timestamps import computed_once, observed_instant
 from obsledger.schema import HEAD_ROWS
 
+# Log2 of a sketch's registers.
+SKETCH_BITS = 12
+
 
 def latest_per_entity(facts: DataFrame) -> DataFrame:
     """Latest local date of each entity.
@@ -34,6 +37,46 @@ def latest_per_entity(facts: DataFrame) -> DataFrame:
     )
 
 
+def merge_latest(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Latest dates of two tables from those of each."""
+    return (
+        old.unionByName(new)
+        .groupBy("entity_code")
+        .agg(F.max("latest_observation_date").alias("latest_observation_date"))
+    )
+
+
+def daily_sketches(facts: DataFrame) -> DataFrame:
+    """(day, sketch): a HyperLogLog sketch of the entities seen on each local date, 4 kB at most.
+
+    Rows without an entity or a date count nowhere.
+    """
+    return (
+        facts.select(
+            canonical_code(F.col("entity_code")).alias("entity_code"),
+            date_part(strip(F.col("observed_at"))).alias("day"),
+        )
+        .filter(F.col("entity_code").isNotNull() & F.col("day").isNotNull())
+        .groupBy("day")
+        .agg(F.hll_sketch_agg("entity_code", SKETCH_BITS).alias("sketch"))
+    )
+
+
+def merge_sketches(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Daily sketches of two tables from those of each."""
+    return old.unionByName(new).groupBy("day").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def entities_between(sketches: DataFrame, first: str, last: str) -> DataFrame:
+    """Estimated distinct entities of a span of days, both ends in it (one row); 0 for a span without rows.
+
+    The standard error is about 1.3 % for many entities; a few hundred are counted exactly.
+    """
+    held = sketches.filter(F.col("day").between(first, last))
+    estimate = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return held.agg(F.coalesce(estimate, F.lit(0).cast("bigint")).alias("entities"))
+
+
 def entity_count(facts: DataFrame, column: str = "entity_code") -> DataFrame:
     return facts.agg(F.countDistinct(column).alias("entities"))
 

@@ -39,3 +39,14 @@ def uniform_sample(
         if thinned.limit(k).count() >= k:
             ranked = thinned
     return ranked.orderBy("__rank", *columns).limit(k).drop("__rank")
+
+
+def merge_samples(
+    old: DataFrame, new: DataFrame, *, k: int = SAMPLE_K, seed: int = SAMPLE_SEED
+) -> DataFrame:
+    """The sample of two tables together from a sample of each, both of k rows and this seed.
+
+    A row among the k smallest of both tables is among the k smallest of its
+    own, so nothing else is needed. Equal rows of both tables stay two rows.
+    """
+    return uniform_sample(old.unionByName(new), k, seed=seed)

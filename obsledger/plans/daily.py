@@ -71,7 +71,8 @@ def run_daily(
     again = manifest.join(to_retry(spark, table), "path", "left_semi")
     files = report.needs.unionByName(again).distinct()
     done = update_from(spark, files, table, listed_at=run_ts, run_id=run_id, **options)
-    written = done is not None and latest(spark, table, f"{out_dir}/latest_obs_report.csv")
+    report_path = f"{out_dir}/latest_obs_report.csv"
+    written = done is not None and latest(spark, table, report_path, incremental=True)
     elapsed = time.perf_counter() - started
     log.info("daily run finished in %.1f min", elapsed / 60)
     return DailyResult(report, needs_path, done, written, elapsed)

@@ -41,6 +41,7 @@ from obsledger.functions.timestamps import (
 )
 from obsledger.operators.dedupe import distinct_rows, keep_last
 from obsledger.operators.explore import (
+    entities_between,
     entity_count,
     entity_rows,
     latest_per_entity,
@@ -66,10 +67,11 @@ from obsledger.plans.build import build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
 from obsledger.plans.report import freshness, needs_processing
+from obsledger.plans.summaries import ENTITIES_BY_DAY, LATEST, sample_summary, summarize
 from obsledger.plans.update import update_from
 from obsledger.schema import KEYS, PRIORITY_COLUMNS, PROPERTIES
 from obsledger.session import new_run_id, work_dir
-from obsledger.sinks.publish import adopt, restore
+from obsledger.sinks.publish import UPDATE, adopt, publish, restore, write_facts
 from obsledger.sinks.reports import write_needs
 from obsledger.sources.drops import FILE, FILE_ORDER
 from obsledger.sources.manifest import (
@@ -80,7 +82,7 @@ from obsledger.sources.manifest import (
     with_zone,
     zone_dimension,
 )
-from obsledger.sources.needs import RUN_PREFIX, newest_needs, read_needs
+from obsledger.sources.needs import RUN_PREFIX, named_files, newest_needs, read_needs
 from obsledger.sources.table import FactTable
 from obsledger.streaming.drops import stream_rewrites, stream_updates
 
@@ -409,6 +411,36 @@ def priority_sellout(spark, sf_dir):
     return _priority_minutes(spark, sf_dir, True)
 
 
+_BOUNDS = (7999, 8000, 9999, 101500, 888800)
+
+
+@query(f"""
+    WITH r AS (SELECT *, (l_orderkey % 24) * 60 + l_partkey % 60 AS om,
+               CASE l_suppkey % 5 WHEN 0 THEN 7999 WHEN 1 THEN 8000 WHEN 2 THEN 9999 WHEN 3 THEN 101500 ELSE 888800 END AS raw
+               FROM lineitem),
+    d AS (SELECT *, CASE WHEN raw = 101500 THEN 615 ELSE 23 * 60 + 59 END - om AS d FROM r)
+    SELECT {_KEY_SQL}, CAST(raw AS BIGINT) AS raw, CAST(CASE WHEN raw IN (8000, 9999, 888800) THEN 8888
+           WHEN d < -15 THEN d + 1440 ELSE d END AS BIGINT) AS wait_time_minutes FROM d""")
+def sellout_bounds(spark, sf_dir):
+    """Raw return hours around the sold-out mark."""
+    raw = F.element_at(F.array(*[F.lit(float(b)) for b in _BOUNDS]), (F.col("l_suppkey") % 5 + 1).cast("int"))
+    df = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        bigint("l_linenumber"),
+        (F.col("l_orderkey") % 24).cast("double").alias("oh"),
+        (F.col("l_partkey") % 60).alias("om"),
+        raw.alias("raw"),
+    )
+    df = add_wait_minutes(
+        df, "wait_time_minutes", observed=("oh", F.col("om")), returned=("raw", F.lit(None).cast("bigint"))
+    )
+    return df.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", bigint("raw"), "wait_time_minutes"
+    )
+
+
 @query(f"""{_CLOCK_SQL}, d AS (SELECT *, CASE WHEN sold THEN 1439 ELSE rh * 60 + rm END - om AS d FROM m)
     SELECT {_KEY_SQL}, CAST(CASE WHEN d < -15 THEN d + 1440 ELSE d END AS BIGINT) AS wait_time_minutes FROM d""")
 def priority_sellout_legacy(spark, sf_dir):
@@ -564,12 +596,6 @@ def merge_fact(spark, sf_dir):
     return merge(facts.filter(F.col("observed_at") < "2024-01-20"), facts)
 
 
-@query("SELECT doc_id, source FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
-def files_semi(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-
-
 # ---- reports -----------------------------------------------------------------------
 @query("""
     SELECT 'U' || user_id AS entity_code, max(strftime(ts, '%Y-%m-%d')) AS latest_observation_date
@@ -668,6 +694,24 @@ def _listed(manifest: DataFrame) -> DataFrame:
 _LISTED_SQL = "path, strftime(m, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS modified"
 
 
+@query(f"""
+    SELECT 's3://bucket/export/' || path AS path, strftime(m, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS modified
+    FROM ({_MANIFEST_SQL}) f WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_id = f.event_id AND e.event_type = 'click')""")
+def files_semi(spark, sf_dir):
+    """The listed files that a needs list names: keys of users below the root, absolute ones as they are."""
+    root = "s3://bucket/export"
+    listed = event_manifest(spark, sf_dir)
+    files = listed.withColumn("path", F.concat(F.lit(f"{root}/"), "path"))
+    relative = F.col("path").startswith("current_") & ~F.col("path").startswith("current_test_")
+    absolute = F.col("event_id") % 2 == 0
+    keys = listed.filter(relative).select(
+        F.when(absolute, F.concat(F.lit(f"{root}/"), "path")).otherwise(F.col("path")).alias("s3_key")
+    )
+    # A list may name a file twice and name files that are gone.
+    twice = keys.unionByName(keys).unionByName(keys.limit(1).select(F.lit("gone.csv").alias("s3_key")))
+    return _listed(named_files(files, twice, root))
+
+
 @query(f"SELECT {_LISTED_SQL} FROM ({_MANIFEST_SQL}) WHERE m >= TIMESTAMP '2024-01-31' - INTERVAL 10 DAY")
 def recent_objects(spark, sf_dir):
     files = recent(event_manifest(spark, sf_dir), timestamp_literal(RUN_TS), 10)
@@ -972,6 +1016,74 @@ def latest_csv_round_trip(spark, sf_dir):
     return spark.read.option("header", True).csv(f"{folder}/latest.csv")
 
 
+# ---- summaries kept over three updates ----------------------------------------------------
+def _third(k: int) -> Column:
+    return F.floor(F.col("wait_time_minutes") / 7) % 3 == k
+
+
+def _in_three_updates(spark: SparkSession, sf_dir: str, summaries: list) -> FactTable:
+    """Event facts published as three segments, with the summaries brought up to date after each."""
+    facts, rows, last = FactTable(f"{_run_folder(spark)}/fact"), event_facts(spark, sf_dir), None
+    for k in range(3):
+        run_id = new_run_id()
+        write_facts(rows.filter(_third(k)), facts.segment_path(run_id))
+        last = publish(
+            spark,
+            facts,
+            last,
+            run_id=run_id,
+            kind=UPDATE,
+            segments=[*(last.segments if last else []), run_id],
+            listed_at=None,
+            published_at=dt.datetime.now(dt.timezone.utc),
+        )
+        for summary in summaries:
+            summarize(spark, facts, summary)
+    return facts
+
+
+@query("""
+    SELECT 'U' || user_id AS entity_code, max(strftime(ts, '%Y-%m-%d')) AS latest_observation_date
+    FROM events GROUP BY 1""")
+def latest_incremental(spark, sf_dir):
+    """The latest report after three updates, each of which read its own segment only."""
+    return summarize(spark, _in_three_updates(spark, sf_dir, [LATEST]), LATEST)
+
+
+@query("SELECT least(count(*), 1000) AS rows, least(count(*), 1000) AS of_whole_sample FROM events")
+def sample_merged(spark, sf_dir):
+    """The sample kept over three updates: its rows, and those that the sample of the whole table has too."""
+    summary = sample_summary(1000)
+    facts = _in_three_updates(spark, sf_dir, [summary])
+    whole, kept = uniform_sample(facts.read(spark), 1000), summarize(spark, facts, summary)
+    return kept.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
+        kept.intersectAll(whole).agg(F.count(F.lit(1)).alias("of_whole_sample"))
+    )
+
+
+_SPANS = [("2024-01-01", "2024-01-01"), ("2024-01-08", "2024-01-14"), ("2024-01-01", "2024-12-31")]
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{first}' AS first_day, '{last}' AS last_day, count(DISTINCT user_id) AS entities, true AS within_3_percent
+    FROM events WHERE strftime(ts, '%Y-%m-%d') BETWEEN '{first}' AND '{last}'""" for first, last in _SPANS
+))
+def entities_by_sketch(spark, sf_dir):
+    """Distinct entities of three spans, counted, and whether the kept daily sketches come close."""
+    facts = _in_three_updates(spark, sf_dir, [ENTITIES_BY_DAY])
+    sketches = summarize(spark, facts, ENTITIES_BY_DAY)
+    found = []
+    for first, last in _SPANS:
+        day = F.substring("observed_at", 1, 10)
+        exact = entity_count(facts.read(spark).filter(day.between(first, last)))
+        guess = entities_between(sketches, first, last).withColumnRenamed("entities", "_estimate")
+        close = F.abs(F.col("_estimate") - F.col("entities")) <= 0.03 * F.col("entities")
+        found.append(exact.crossJoin(guess).select(
+            F.lit(first).alias("first_day"), F.lit(last).alias("last_day"), "entities", close.alias("within_3_percent")
+        ))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(f"SELECT path AS s3_key FROM ({_MANIFEST_SQL}) WHERE m > {_MARK_SQL}")
 def needs_round_trip(spark, sf_dir):
     """A needs list written, found as the newest of its folder and read back."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -71,9 +72,13 @@ def work_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: no shared work folder")
-    folder = tempfile.mkdtemp(prefix="obsledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    # Not stored as a setting: Spark fixes this one when the session starts.
+    return tempfile.mkdtemp(prefix="obsledger-")
 
 
 def new_run_id() -> str:

@@ -45,6 +45,11 @@ def newest_needs(spark: SparkSession, folder: str) -> str | None:
     return files.agg(F.max(name)).first()[0]
 
 
+def named_files(manifest: DataFrame, keys: DataFrame, root: str) -> DataFrame:
+    """The listed files that a needs list names, each once; names of files that are gone give nothing."""
+    return manifest.join(resolve_keys(keys, root), "path", "left_semi")
+
+
 def resolve_keys(keys: DataFrame, root: str) -> DataFrame:
     """Turn keys into paths: keys without scheme or leading slash lie below ``root``."""
     key = F.col("s3_key")
