@@ -103,3 +103,27 @@ def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([r[:2] for r in URLS], "page_id long, url string")
     plan = judge_urls(pages, outcomes(spark, [("a", True)]), RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_owners_below_two_label_suffixes_are_told_apart(spark):
+    seen = [("bad.co.uk:8080", False)] * 60 + [("www.good.co.uk", True)] * 60 + [("a.bad.github.io.", False)] * 60
+    pages = spark.createDataFrame(
+        [(1, "http://x.bad.co.uk/"), (2, "http://u:p@good.co.uk:443/"), (3, "http://new.co.uk"), (4, "http://BAD.CO.UK"),
+         (5, "http://co.uk/"), (6, "http://bad.github.io:1")],
+        "page_id long, url string",
+    )
+    out = judge_urls(pages, outcomes(spark, seen), [])
+    got = {r.page_id: (r.host, r.verdict, r.evidence) for r in out.collect()}
+    assert got[1] == ("x.bad.co.uk", "block", "domain") and got[4] == ("bad.co.uk", "block", "host")
+    assert got[2] == ("u:p@good.co.uk:443", "allow", "domain")
+    assert got[3][2] == got[5][2] == "suffix" and got[6] == ("bad.github.io:1", "block", "domain")
+    one = judge_urls(pages, outcomes(spark, seen), [], suffixes=["b.c"])
+    assert {r.evidence for r in one.where("page_id < 4").collect()} == {"domain"}
+    names = {(r.level, r.name) for r in reputation(outcomes(spark, seen)).collect()}
+    assert {("suffix", "co.uk"), ("suffix", "github.io"), ("domain", "bad.github.io"), ("host", "bad.co.uk")} <= names
+
+
+def test_few_exchanges(spark):
+    pages = spark.createDataFrame([r[:2] for r in URLS], "page_id long, url string")
+    plan = judge_urls(pages, outcomes(spark, [("a", True)]), RULES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 30
