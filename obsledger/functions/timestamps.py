@@ -22,6 +22,7 @@ from obsledger.schema import CLOCK_YEARS, REPORT_ZONE
 
 # The form almost every stored time has; needs no reformatting.
 CANONICAL = r"^\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(?:\.\d+)?$"
+NUMERIC_DATE = r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})(?!\d)"
 ISO_LOCAL = (
     r"^\d{4}-\d{1,2}-\d{1,2}"
     r"(?:[ T]\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?)?$"
@@ -94,17 +95,19 @@ def is_possible_date(year: Column, month: Column, day: Column) -> Column:
     return in_clock_range(local_timestamp(year, month, day, F.lit(0), F.lit(0)))
 
 
-def _reordered(text: Column) -> Column:
-    """Bring y/M/d, M/d/y and compact dates into ISO order; cut a final am/pm."""
+def _reordered(text: Column, day_first: bool) -> Column:
+    """Bring y/M/d, M/d/y (or d/M/y) and compact dates into ISO order; cut a final am/pm."""
     c = F.regexp_replace(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
-    c = F.regexp_replace(c, r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})(?!\d)", "$3-$1-$2")
+    c = F.regexp_replace(c, NUMERIC_DATE, "$3-$2-$1" if day_first else "$3-$1-$2")
     c = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(?=[ T]|$)", "$1-$2-$3")
     return F.regexp_replace(c, r"(?i)\s*[ap]m$", "")
 
 
-def parse_local(df: DataFrame, text: str, out: str) -> DataFrame:
+def parse_local(df: DataFrame, text: str, out: str, *, day_first: bool = False) -> DataFrame:
     """Add ``out``: the wall clock in column ``text``, null if unreadable or zoned.
 
+    Dates such as 3/4/2024 give the month first, or the day with ``day_first``.
+
     Canonical texts, the bulk of any drop, take one regular expression and one
     cast; the other forms are only tried on what is left. Each step is its own
     projection: nested, the steps would be copied into each other and the
@@ -113,7 +116,7 @@ def parse_local(df: DataFrame, text: str, out: str) -> DataFrame:
     c, canonical, ordered, local = F.col(text), "__canonical", "__ordered", "__parsed"
     df = df.withColumn(canonical, c.rlike(CANONICAL))
     df = df.withColumn(
-        ordered, F.when(F.col(canonical), c).when(~has_offset(c), _reordered(c))
+        ordered, F.when(F.col(canonical), c).when(~has_offset(c), _reordered(c, day_first))
     )
     df = df.withColumn(
         local,
@@ -270,6 +273,7 @@ def ensure_offset(
     fold: str = "earlier",
     by: list[str] | None = None,
     order: str | None = None,
+    day_first: bool = False,
 ) -> DataFrame:
     """Give every readable local time in ``column`` an offset.
 
@@ -278,7 +282,7 @@ def ensure_offset(
     file of each row and its place there.
     """
     c = F.col(column)
-    df = parse_local(df, column, "__local")
+    df = parse_local(df, column, "__local", day_first=day_first)
     if fold == "infer":
         df = infer_second(df, "__local", zone, by, order)
     plain = F.when(

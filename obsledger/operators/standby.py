@@ -27,13 +27,15 @@ def unpivot_waits(
     return wide.unpivot(ids, list(names), "wait_time_type", "wait_time_minutes")
 
 
-def normalize_standby(raw: DataFrame, zone: str, *, fold: str = "earlier") -> DataFrame:
+def normalize_standby(
+    raw: DataFrame, zone: str, *, fold: str = "earlier", day_first: bool = False
+) -> DataFrame:
     """The four columns from raw standby rows of one zone.
 
     The first filter looks at raw texts only: a filter on parsed values would be
     pushed below the projection and parse every row twice. Each row is localised
     once, before it is unpivoted; the range filter then sees parsed numbers. ``fold="infer"`` needs
-    the columns FILE and FILE_ORDER.
+    the columns FILE and FILE_ORDER. ``day_first``: how dates such as 3/4/2024 are read.
     """
     df = raw.filter(
         null_if_na(F.col("entity_code")).isNotNull()
@@ -49,7 +51,9 @@ def normalize_standby(raw: DataFrame, zone: str, *, fold: str = "earlier") -> Da
         half_even(coerce_double(F.col("submitted_posted_time"))).alias("posted"),
         half_even(coerce_double(F.col("submitted_actual_time"))).alias("actual"),
     )
-    df = ensure_offset(df, "observed_at", zone, fold=fold, by=[FILE], order=FILE_ORDER)
+    df = ensure_offset(
+        df, "observed_at", zone, fold=fold, by=[FILE], order=FILE_ORDER, day_first=day_first
+    )
     long = unpivot_waits(df, ["entity_code", "observed_at"], "posted", "actual").filter(
         in_range(F.col("wait_time_minutes"))
     )

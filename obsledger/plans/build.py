@@ -88,6 +88,7 @@ def metrics_of(drops: DropSet, observed: Observed, new_rows: int) -> dict[str, i
         "rejected_files": len(drops.rejected),
         "new_rows": new_rows,
         **observed.counts(),
+        **{f"{k}_date_files": v for k, v in observed.unclear.items()},
     }
 
 

@@ -39,6 +39,7 @@ from obsledger.functions.timestamps import (
     local_timestamp,
     localize,
 )
+from obsledger.operators.day_order import day_orders
 from obsledger.operators.dedupe import distinct_rows, keep_last
 from obsledger.operators.explore import (
     entities_between,
@@ -66,6 +67,7 @@ from obsledger.operators.standby import normalize_standby, unpivot_waits
 from obsledger.plans.build import build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
+from obsledger.plans.observe import Rules
 from obsledger.plans.report import freshness, needs_processing
 from obsledger.plans.summaries import ENTITIES_BY_DAY, LATEST, sample_summary, summarize
 from obsledger.plans.update import update_from
@@ -1201,3 +1203,66 @@ def dst_inferred(spark, sf_dir):
     )
     found = localize(infer_second(rows, "l", NEW_YORK, ["file"], "place"), "l", NEW_YORK, "observed_at", fold="infer")
     return found.select("o_orderkey", "observed_at")
+
+
+# ---- day before month or month before day, by file --------------------------------------------
+# Orders stand for rows of 50 files of five kinds: day first, month first, both, days of one March that could be months,
+# and one day that reads alike either way.
+_DAY_ORDER_SQL = """
+    SELECT o_custkey % 50 AS file, CASE o_custkey % 5
+        WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+        WHEN 2 THEN CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%m/%d/%Y') END
+        WHEN 3 THEN (day(o_orderdate) % 12 + 1) || '/3/1995' ELSE '5/5/1995' END AS text FROM orders"""
+
+
+@query(f"""
+    WITH p AS (SELECT file, regexp_extract(text, '^(\\d+)/', 1) AS a, regexp_extract(text, '/(\\d+)/', 1) AS b,
+                      right(text, 4) AS y FROM ({_DAY_ORDER_SQL})),
+    d AS (SELECT file, TRY_CAST(y || '-' || lpad(b, 2, '0') || '-' || lpad(a, 2, '0') AS DATE) AS dm,
+                 TRY_CAST(y || '-' || lpad(a, 2, '0') || '-' || lpad(b, 2, '0') AS DATE) AS md FROM p),
+    g AS (SELECT file, count(*) AS dates, count(*) FILTER (md IS NULL AND dm IS NOT NULL) AS only_day,
+                 count(*) FILTER (dm IS NULL AND md IS NOT NULL) AS only_month,
+                 max(dm) - min(dm) AS span_day, max(md) - min(md) AS span_month FROM d GROUP BY file)
+    SELECT file, dates, CASE WHEN only_day > 0 AND only_month > 0 THEN 'mixed' WHEN only_day > 0 THEN 'day_first'
+        WHEN only_month > 0 THEN 'month_first' WHEN span_day < span_month THEN 'day_first'
+        WHEN span_day > span_month THEN 'month_first' ELSE 'ambiguous' END AS day_order FROM g""")
+def day_order_by_file(spark, sf_dir):
+    day, month = (F.lpad(text_of(f("o_orderdate")), 2, "0") for f in (F.dayofmonth, F.month))
+    year = text_of(F.year("o_orderdate"))
+    day_first, month_first = F.concat_ws("/", day, month, year), F.concat_ws("/", month, day, year)
+    kind = F.col("o_custkey") % 5
+    text = (
+        F.when(kind == 0, day_first)
+        .when(kind == 1, month_first)
+        .when(kind == 2, F.when(F.col("o_orderkey") % 2 == 0, day_first).otherwise(month_first))
+        .when(kind == 3, F.concat(text_of(F.dayofmonth("o_orderdate") % 12 + 1), F.lit("/3/1995")))
+        .otherwise("5/5/1995")
+    )
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("file"), text.alias("text"))
+    return day_orders(rows, "file", "text")
+
+
+@query(_DROP_SQL)
+def build_day_orders(spark, sf_dir):
+    """Drops of which some properties give the day first and the others the month."""
+    folder = _run_folder(spark)
+    events = drop_events(spark, sf_dir)
+    ts = text_of(F.col("ts"))
+    year, month, day, clock = (F.substring(ts, *at) for at in ((1, 4), (6, 2), (9, 2), (11, 99)))
+    day_first = F.col("user_id") % 2 == 0
+    written = F.concat(F.concat_ws("/", F.when(day_first, day).otherwise(month), F.when(day_first, month).otherwise(day), year), clock)
+    standby = standby_drops(events.withColumn("day_first", day_first).withColumn("ts", written), "day_first")
+    for kind in (True, False):
+        part = standby.filter(F.col("day_first") == kind)
+        for prop in PROPERTIES:
+            part.filter(F.col("prop") == prop).drop("prop", "day_first").write.option("header", True).csv(
+                f"{folder}/export/wait_times/{prop}/{'day' if kind else 'month'}"
+            )
+    for prop in PROPERTIES:
+        priority_drops(events).filter(F.col("prop") == prop).drop("prop").write.option("header", True).csv(
+            f"{folder}/export/fastpass_times/{prop}"
+        )
+    facts = FactTable(f"{folder}/fact")
+    now = dt.datetime.now(dt.timezone.utc)
+    build(spark, f"{folder}/export", facts, run_ts=now, rules=Rules(day_order="infer"))
+    return facts.read(spark)

@@ -38,6 +38,7 @@ class Layout:
     shape: str
     positions: tuple[int, ...]
     width: int
+    day_first: bool = False
 
 
 @dataclass

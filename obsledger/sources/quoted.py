@@ -61,12 +61,12 @@ def broken_files(spark: SparkSession, paths: list[str]) -> set[str]:
         return set()
     found = _lines(spark, paths).filter(opens(F.col("value"))).select("_metadata.file_path").distinct()
     held = {plain_path(r.file_path) for r in found.collect()}
-    return {p for p in paths if plain_path(_unescaped(p)) in held}
+    return {p for p, plain in listed_paths(paths) if plain in held}
 
 
-def _unescaped(path: str) -> str:
-    """``plain_path`` undoes a URL's escapes, which a plain path does not have."""
-    return path.replace("%", "%25")
+def listed_paths(paths: list[str]) -> list[tuple[str, str]]:
+    """Each listed path with its ``plain_path``, which undoes a URL's escapes; a listed path has none."""
+    return [(p, plain_path(p.replace("%", "%25"))) for p in paths]
 
 
 def _carried(df: DataFrame, by: list[str], order: str, zero: str, one: str, out: str) -> DataFrame:
@@ -167,4 +167,4 @@ class QuotedFiles:
 def problems_of(spark: SparkSession, paths: list[str], order: Column) -> dict[str, str]:
     """Of files with records over lines, those (path -> reason) that have to be set aside."""
     found = QuotedFiles(spark, paths, order).problems() if paths else {}
-    return {p: found[plain_path(_unescaped(p))] for p in paths if plain_path(_unescaped(p)) in found}
+    return {p: found[plain] for p, plain in listed_paths(paths) if plain in found}

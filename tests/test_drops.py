@@ -13,7 +13,7 @@ from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.build import EmptyListing, build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
-from obsledger.plans.observe import Rules, observe
+from obsledger.plans.observe import Rules, file_day_orders, observe
 from obsledger.plans.report import freshness, needs_processing, watermark_of
 from obsledger.plans.update import update, update_from
 from obsledger.schema import FACT_SCHEMA, KEYS
@@ -576,3 +576,55 @@ def test_repeated_hour_by_the_order_of_a_file(spark, tmp_path):
     assert [offset["A", k] for k in range(6)] == ["-04:00"] * 3 + ["-05:00"] * 3
     assert {offset["B", k] for k in range(4)} == {"-04:00"}
     assert [offset["P", t] for t in ("01:30", "01:00", "02:00")] == ["-04:00", "-05:00", "-05:00"]
+
+
+def test_day_and_month_by_the_dates_of_a_file(spark, tmp_path):
+    """One read of files of both orders: by days over 12, by the shorter span, and what is left open."""
+    r = str(tmp_path / "export")
+    head = "entity_code,observed_at,submitted_posted_time\n"
+    files = {
+        "day 100%.csv": ("D", ["13/02/2024 10:00:00", "05/02/2024 1:30 PM"]),
+        "month.csv": ("M", ["02/13/2024 10:00:00", "02/05/2024 10:00:00"]),
+        "short.csv": ("S", ["01/03/2024 10:00:00", "05-03-2024 10:00:00", "2024-03-06 10:00:00"]),
+        "same.csv": ("E", ["03/04/2024 10:00:00", "", "no date"]),
+        "both.csv": ("B", ["13/02/2024 10:00:00", "02/13/2024 10:00:00", "31/31/2024 10:00:00"]),
+        "iso.csv": ("I", ["2024-02-03 10:00:00"]),
+    }
+    for name, (entity, times) in files.items():
+        lines = "".join(f"{entity},{t},{k}\n" for k, t in enumerate(times))
+        put(r, f"wait_times/wdw/{name}", head + lines)
+    drops = plan_drops(spark, scan_drops(spark, r))
+    found = {os.path.basename(x.file): (x.dates, x.day_order) for x in file_day_orders(spark, drops).collect()}
+    assert found == {
+        "day%20100%25.csv": (2, "day_first"),
+        "month.csv": (2, "month_first"),
+        "short.csv": (2, "day_first"),
+        "same.csv": (1, "ambiguous"),
+        "both.csv": (3, "mixed"),
+    }
+    seen = observe(spark, drops, Rules(day_order="infer"))
+    assert seen.unclear == {"ambiguous": 1, "mixed": 1}
+    got = {(e, m): at[:16] for e, at, _, m in rows(seen.rows)}
+    assert got == {
+        ("D", 0): "2024-02-13T10:00", ("D", 1): "2024-02-05T13:30",
+        ("M", 0): "2024-02-13T10:00", ("M", 1): "2024-02-05T10:00",
+        ("S", 0): "2024-03-01T10:00", ("S", 1): "2024-03-05T10:00", ("S", 2): "2024-03-06T10:00",
+        ("E", 0): "2024-03-04T10:00", ("E", 2): "no date",
+        ("B", 0): "13/02/2024 10:00", ("B", 1): "2024-02-13T10:00", ("B", 2): "31/31/2024 10:00",
+        ("I", 0): "2024-02-03T10:00",
+    }
+    fixed = {(e, m): at[:10] for e, at, _, m in rows(observe(spark, drops, Rules(day_order="day_first")).rows)}
+    assert fixed["S", 0] == "2024-03-01" and fixed["E", 0] == "2024-04-03" and fixed["M", 1] == "2024-05-02"
+    with pytest.raises(ValueError):
+        Rules(day_order="other")
+
+
+def test_day_order_without_dates(spark, tmp_path):
+    r = str(tmp_path / "export")
+    put(r, "wait_times/wdw/none.csv", "entity_code,observed_at,submitted_posted_time\n")
+    drops = plan_drops(spark, scan_drops(spark, r))
+    seen = observe(spark, drops, Rules(day_order="infer"))
+    assert rows(seen.rows) == [] and seen.unclear == {"ambiguous": 0, "mixed": 0}
+    table = FactTable(str(tmp_path / "t"))
+    metrics = build(spark, r, table, run_ts=NOW, rules=Rules(day_order="infer")).commit.metrics
+    assert metrics["ambiguous_date_files"] == 0
