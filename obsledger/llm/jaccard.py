@@ -145,6 +145,18 @@ def _verify(threshold: float, words: int, pairs: bool):
     return run
 
 
+def star_edges(edges: DataFrame, node: str, to: str) -> DataFrame:
+    """(a, b): edges that connect what (``node``, ``to``) connect, about one for each node.
+
+    Each node is held by the smallest that it leads to, and so are the others that it leads to. These are few and
+    the same for many nodes (leads of buckets, smallest ids of blocks), so that a large group gives
+    one edge a member instead of one for each of its members and bands or blocks.
+    """
+    held = edges.groupBy(node).agg(F.collect_set(to).alias("_to"))
+    others = F.explode(F.array_append("_to", F.col(node))).alias("b")
+    return held.select(F.array_min("_to").alias("a"), others).where("a <> b").distinct()
+
+
 class _Join:
     """The steps up to verified links, shared by ``jaccard_join`` and ``jaccard_pairs``."""
 
@@ -188,7 +200,7 @@ class _Join:
         # Written, so that each side of the join has an exchange of its own and a hot band can be split.
         buckets = self.scratch.keep(buckets, "buckets")
         # To the bucket's first member only: a bucket of n rows gives n - 1 edges.
-        edges = banded.join(buckets, "_band").select(F.col("_lead").alias("a"), F.col("_key").alias("b"))
+        edges = star_edges(banded.join(buckets, "_band"), "_key", "_lead")
         found = components(edges, self.scratch, "candidates")
         return found.select(F.col("node").alias("_key"), F.col("component").alias("_group"))
 
@@ -283,7 +295,7 @@ def jaccard_join(
     """
     join = _Join(docs, threshold, words, recall, id_col, text_col)
     links = join.scratch.keep(join.verified(pairs=False), "links")
-    edges = links.select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(join.of_one_id())
+    edges = star_edges(links, "node", "low").unionByName(join.of_one_id())
     classes = components(edges, join.scratch, "classes").select(F.col("node").alias("_node"), "component")
     counts = links.groupBy("_set").agg(F.sum("links").alias("_links"))
     reps = (

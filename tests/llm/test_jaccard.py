@@ -134,3 +134,19 @@ def test_one_text_reaches_the_blocks_for_each_representative(spark, monkeypatch)
     through = lambda t: t.select(["_set", "_node", "_node", "_copies"]).rename_columns(names)
     monkeypatch.setattr(jaccard, "_verify", lambda *_: through)
     assert sorted((r.node, r.links) for r in join.verified(pairs=False).collect()) == [(1, 500), (2, 1)]
+
+
+def test_edges_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(jaccard, "LEAST_ROWS", 8)
+    r, n, seen = random.Random(4), 160, {}
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(f"x{i}" if k == at else w for k, w in enumerate(words)))
+            for i in range(n) for at in [r.randrange(400)]]
+    kept = jaccard.components
+    monkeypatch.setattr(
+        jaccard, "components", lambda edges, scratch, label: (seen.update({label: edges.count()}), kept(edges, scratch, label))[1]
+    )
+    got = collected(jaccard_join(documents(spark, rows)))
+    assert {(c, k) for _, c, k in got} == {(0, n - 1)}
+    assert n - 1 <= seen["candidates"] <= 2 * n and n - 1 <= seen["classes"] <= 2 * n
