@@ -96,7 +96,7 @@ def file_day_orders(spark: SparkSession, drops: DropSet, rules: Rules = Rules())
     frames = [spark.createDataFrame([], f"{FILE} string, text string")]
     for layout, paths, broken in drops.parts():
         if layout.family == STANDBY:
-            raw = scan_layout(spark, layout, paths, ordered=True, broken=broken, **_scan_options(rules))
+            raw = scan_layout(spark, layout, paths, ordered=True, broken=broken, quoted=drops.quoted, **_scan_options(rules))
             times = raw.filter(~is_shifted(raw)).select(FILE, strip(F.col("observed_at")).alias("text"))
             frames.append(times)
     return day_orders(_union(frames), FILE, "text")
@@ -149,6 +149,7 @@ def observe(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -> Obse
             shared=shared,
             ordered=layout.family != STANDBY or rules.fold == "infer",
             broken=broken,
+            quoted=drops.quoted,
             **_scan_options(rules),
         )
         if EXTRA_FIELD not in raw.columns:
@@ -192,7 +193,7 @@ def rows_left_out(spark: SparkSession, drops: DropSet, rules: Rules = Rules()) -
     """
     frames = [spark.createDataFrame([], LEFT_OUT)]
     for layout, paths, broken in drops.parts():
-        raw = scan_layout(spark, layout, paths, ordered=True, broken=broken, **_scan_options(rules))
+        raw = scan_layout(spark, layout, paths, ordered=True, broken=broken, quoted=drops.quoted, **_scan_options(rules))
         reason = F.when(is_shifted(raw), SHIFTED)
         if layout.family != STANDBY:
             reason = F.coalesce(reason, F.when(~readable(), UNDATED))

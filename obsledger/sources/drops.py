@@ -22,7 +22,7 @@ from obsledger.sources.headers import (
     spread,
 )
 from obsledger.sources.manifest import escape_glob, route, with_zone, zone_dimension
-from obsledger.sources.quoted import QuotedFiles, broken_files, problems_of
+from obsledger.sources.quoted import QuotedFiles, broken_files
 
 EXTRA_FIELD = "extra_field"
 FILE = "file"
@@ -43,11 +43,15 @@ class Layout:
 
 @dataclass
 class DropSet:
-    """Files to read by layout, those of them whose records run over lines, and the files set aside with their reason."""
+    """Files to read by layout, those of them whose records run over lines, and the files set aside with their reason.
+
+    ``quoted`` holds the lines of the files of ``broken``, written once for all scans of them.
+    """
 
     layouts: dict[Layout, list[str]]
     rejected: list[tuple[str, str]]
     broken: set[str] = field(default_factory=set)
+    quoted: QuotedFiles | None = None
 
     def parts(self) -> Iterator[tuple[Layout, list[str], bool]]:
         """Layout, files, and whether their records run over lines."""
@@ -97,7 +101,11 @@ def plan_drops(
     drops = DropSet(dict(layouts), rejected)
     if quoted_breaks:
         drops.broken = broken_files(spark, [p for paths in layouts.values() for p in paths])
-        problems = problems_of(spark, sorted(drops.broken), _order_in_file(spark))
+        problems: dict[str, str] = {}
+        if drops.broken:
+            groups = [[p for p in paths if p in drops.broken] for paths in layouts.values()]
+            drops.quoted = QuotedFiles(spark, sorted(drops.broken), _order_in_file(spark), groups)
+            problems = drops.quoted.problems_listed()
         drops.rejected += sorted(problems.items())
         drops.broken -= set(problems)
         kept = {k: [p for p in paths if p not in problems] for k, paths in layouts.items()}
@@ -157,9 +165,12 @@ def _schema(layout: Layout) -> T.StructType:
 CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
 
-def _quoted_rows(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
+def _quoted_rows(
+    spark: SparkSession, layout: Layout, paths: list[str], quoted: QuotedFiles | None
+) -> DataFrame:
     """Fields of the records of files with quoted line breaks, with FILE and FILE_ORDER."""
-    records = QuotedFiles(spark, paths, _order_in_file(spark)).records()
+    quoted = quoted or QuotedFiles(spark, paths, _order_in_file(spark))
+    records = quoted.records(spark, paths)
     columns = ", ".join(f"{name} string" for name in _schema(layout).fieldNames())
     fields = F.from_csv("record", columns, CSV_OPTIONS)
     return records.select(FILE, FILE_ORDER, fields.alias("__fields")).select(FILE, FILE_ORDER, "__fields.*")
@@ -174,6 +185,7 @@ def scan_layout(
     multi_line: bool = False,
     ignore_missing: bool = False,
     broken: bool = False,
+    quoted: QuotedFiles | None = None,
     shared: str = "",
 ) -> DataFrame:
     """Read the files of one layout as all-string columns by canonical name.
@@ -181,10 +193,10 @@ def scan_layout(
     Line 1 of each file is dropped and columns bind by position. Headered files
     get one more field than their header names, EXTRA_FIELD: a value there means that the row is
     shifted. Undecodable bytes become U+FFFD. Unneeded columns are pruned by the parser.
-    ``broken``: records of these files may run over lines, see ``quoted``.
+    ``broken``: records of these files may run over lines; ``quoted`` has their lines if they are written already.
     """
     if broken and not multi_line:
-        df = _quoted_rows(spark, layout, paths)
+        df = _quoted_rows(spark, layout, paths, quoted)
         path, order = F.col(FILE), F.col(FILE_ORDER)
     else:
         df = (

@@ -10,6 +10,7 @@ wherever they lie.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,10 @@ _FIELD = f'(?:"{_BODY}"[^,]*+|[^",][^,]*+|)'
 _OPENS = rf'\A(?:{_FIELD},)*+"{_BODY}\z'
 _STAYS = rf'\A{_BODY}(?:"[^,]*+,(?:{_FIELD},)*+"{_BODY})?+\z'
 
-FILE, BLOCK, ORDER = "file", "block", "file_order"
+RECORDS_AT_ONCE = 64
+"""Sizes are summed over so many neighbouring records first; only where these are too long together, one by one."""
+
+FILE, BLOCK, ORDER, GROUP = "file", "block", "file_order", "file_group"
 
 
 def opens(line: Column) -> Column:
@@ -88,30 +92,60 @@ def _carried(df: DataFrame, by: list[str], order: str, zero: str, one: str, out:
 
 class QuotedFiles:
     """Records of files of which some run over lines. The lines are written once, with what each range of
-    bytes would make of them if it started inside and outside quotes."""
-
-    def __init__(self, spark: SparkSession, paths: list[str], order: Column) -> None:
-        lines = _lines(spark, paths).select(
-            F.col("_metadata.file_path").alias(FILE),
-            F.col("_metadata.file_block_start").alias(BLOCK),
-            order.alias(ORDER),
-            "value",
-        )
+    bytes would make of them if it started inside and outside quotes, in a folder for each of ``groups`` of the files;
+    so are the ranges. Whoever reads records of some of the files reads the folders that hold them."""
+
+    def __init__(
+        self, spark: SparkSession, paths: list[str], order: Column, groups: list[list[str]] | None = None
+    ) -> None:
+        self.spark, self.groups = spark, [g for g in groups or [paths] if g]
+        frames = [
+            _lines(spark, group).select(
+                F.lit(k).alias(GROUP),
+                F.col("_metadata.file_path").alias(FILE),
+                F.col("_metadata.file_block_start").alias(BLOCK),
+                order.alias(ORDER),
+                "value",
+            )
+            for k, group in enumerate(self.groups)
+        ]
+        lines, by = reduce(DataFrame.unionByName, frames), [GROUP, FILE, BLOCK]
         lines = lines.withColumn("zero", opens(F.col("value"))).withColumn("one", stays(F.col("value")))
-        lines = _carried(lines, [FILE, BLOCK], ORDER, "zero", "one", "in")
-        upto = Window.partitionBy(FILE, BLOCK).orderBy(ORDER).rowsBetween(Window.unboundedPreceding, 0)
+        lines = _carried(lines, by, ORDER, "zero", "one", "in")
+        upto = Window.partitionBy(*by).orderBy(ORDER).rowsBetween(Window.unboundedPreceding, 0)
         for s in (0, 1):
             # A record begins at each line outside quotes that is not blank.
             begins = ~F.col(f"in{s}") & (F.trim("value", F.lit(" \t\r")) != "")
             lines = lines.withColumn(f"record{s}", F.sum(begins.cast("bigint")).over(upto))
             lines = lines.withColumn(f"after{s}", F.when(F.col(f"in{s}"), F.col("one")).otherwise(F.col("zero")))
-        folder = f"{work_dir(spark)}/quoted-{new_run_id()}"
-        lines.drop("zero", "one").write.parquet(folder)
-        self.lines = spark.read.schema(lines.drop("zero", "one").schema).parquet(folder)
+        self.folder = f"{work_dir(spark)}/quoted-{new_run_id()}"
+        lines = lines.drop("zero", "one")
+        lines.write.partitionBy(GROUP).parquet(f"{self.folder}/lines")
+        self.schema = lines.schema
+        ranges = self._ranges()
+        ranges.write.parquet(f"{self.folder}/ranges")
+        # Stored, so that Spark knows how small they are and need not shuffle the lines to join them.
+        self.ranges_schema = ranges.schema
+
+    def _stored(self, spark: SparkSession, paths: list[str] | None) -> tuple[DataFrame, DataFrame]:
+        """Lines and ranges, of all files or of ``paths``."""
+        lines = spark.read.schema(self.schema).parquet(f"{self.folder}/lines")
+        ranges = spark.read.schema(self.ranges_schema).parquet(f"{self.folder}/ranges")
+        if paths is None:
+            return lines, ranges
+        wanted = set(paths)
+        holding = [k for k, group in enumerate(self.groups) if not wanted.isdisjoint(group)]
+        lines = lines.filter(F.col(GROUP).isin(holding))
+        if {p for k in holding for p in self.groups[k]} <= wanted:
+            return lines, ranges
+        names = {plain for _, plain in listed_paths(paths)}
+        urls = [r[0] for r in ranges.select(FILE).distinct().collect() if plain_path(r[0]) in names]
+        return lines, ranges.filter(F.col(FILE).isin(urls))
 
     def _ranges(self) -> DataFrame:
         """One row for each range: whether it starts and ends inside quotes, and the record that its first lines go on with."""
-        ranges = self.lines.groupBy(FILE, BLOCK).agg(
+        lines = self.spark.read.schema(self.schema).parquet(f"{self.folder}/lines")
+        ranges = lines.groupBy(FILE, BLOCK).agg(
             F.max_by("after0", ORDER).alias("after0"),
             F.max_by("after1", ORDER).alias("after1"),
             F.max("record0").alias("record0"),
@@ -131,10 +165,11 @@ class QuotedFiles:
             F.last(own, ignorenulls=True).over(before).alias("goes_on"),
         )
 
-    def _placed(self) -> DataFrame:
+    def _placed(self, spark: SparkSession, paths: list[str] | None = None) -> DataFrame:
         """Lines with the place of their record: the range where it begins and its number there."""
         inside = F.col("inside")
-        lines = self.lines.join(self._ranges(), [FILE, BLOCK])
+        lines, ranges = self._stored(spark, paths)
+        lines = lines.join(ranges, [FILE, BLOCK])
         record = F.when(inside, F.col("record1")).otherwise(F.col("record0"))
         blank = ~F.when(inside, F.col("in1")).otherwise(F.col("in0")) & (F.trim("value", F.lit(" \t\r")) == "")
         return lines.filter(~blank).select(
@@ -145,17 +180,31 @@ class QuotedFiles:
             F.when(record > 0, record).otherwise(F.col("goes_on.record")).alias("record"),
         )
 
+    def _too_long(self, files: list[str] | None, *record: Column) -> set[str]:
+        """Files with more than MOST_BYTES of lines in one place, which ``record`` tells from others."""
+        placed = self._placed(self.spark)
+        if files is not None:
+            placed = placed.filter(F.col(FILE).isin(files))
+        sizes = placed.groupBy(FILE, "begin", *record).agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+        return {r[0] for r in sizes.filter(F.col("bytes") > MOST_BYTES).select(FILE).distinct().collect()}
+
     def problems(self) -> dict[str, str]:
         """Files that cannot be put together, with the reason."""
-        last = self._ranges().groupBy(FILE).agg(F.max_by("open", BLOCK).alias("open")).filter("open")
-        sizes = self._placed().groupBy(FILE, "begin", "record").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
-        long = sizes.filter(F.col("bytes") > MOST_BYTES).select(FILE).distinct()
-        found = {r[0]: TOO_LONG for r in long.collect()} | {r[0]: UNCLOSED for r in last.select(FILE).collect()}
+        _, ranges = self._stored(self.spark, None)
+        last = ranges.groupBy(FILE).agg(F.max_by("open", BLOCK).alias("open")).filter("open")
+        long = self._too_long(None, F.floor(F.col("record") / RECORDS_AT_ONCE).alias("records"))
+        long = self._too_long(sorted(long), F.col("record")) if long else long
+        found = {file: TOO_LONG for file in long} | {r[0]: UNCLOSED for r in last.select(FILE).collect()}
         return {plain_path(p): problem for p, problem in found.items()}
 
-    def records(self) -> DataFrame:
+    def problems_listed(self) -> dict[str, str]:
+        """Those of the listed paths (path -> reason) that have to be set aside."""
+        found = self.problems()
+        return {p: found[plain] for group in self.groups for p, plain in listed_paths(group) if plain in found}
+
+    def records(self, spark: SparkSession | None = None, paths: list[str] | None = None) -> DataFrame:
         """(file, file_order, record): every record but the first of each file, its lines joined again."""
-        held = self._placed().groupBy(FILE, "begin", "record").agg(
+        held = self._placed(spark or self.spark, paths).groupBy(FILE, "begin", "record").agg(
             F.min(ORDER).alias(ORDER), F.array_sort(F.collect_list(F.struct(ORDER, "value"))).alias("lines")
         )
         joined = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
@@ -166,5 +215,4 @@ class QuotedFiles:
 
 def problems_of(spark: SparkSession, paths: list[str], order: Column) -> dict[str, str]:
     """Of files with records over lines, those (path -> reason) that have to be set aside."""
-    found = QuotedFiles(spark, paths, order).problems() if paths else {}
-    return {p: found[plain] for p, plain in listed_paths(paths) if plain in found}
+    return QuotedFiles(spark, paths, order).problems_listed() if paths else {}

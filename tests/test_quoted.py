@@ -138,3 +138,19 @@ def test_random_file_reads_like_csv(spark, tmp_path):
     own = small_splits(spark, 128)
     drops = plan_drops(own, scan_drops(own, str(tmp_path / "export")))
     assert drops.broken and rows(observe(own, drops).rows) == sorted(expected)
+
+
+def test_lines_are_written_once(spark, tmp_path, monkeypatch):
+    """However many layouts, zones and passes read the files with records over lines."""
+    root, made, head = str(tmp_path / "export"), [], "entity_code,observed_at,submitted_posted_time"
+    for prop in ("wdw", "dlr", "tdr"):
+        for k, names in enumerate((head, "note," + head)):
+            put(root, f"wait_times/{prop}/{k}.csv", f'{names}\n' + "x," * k + f'"{prop}\n{k}",2024-07-01 10:00:00,2{k}\n')
+    put(root, "wait_times/dlr/open.csv", head + '\n"a\nb",2024-07-01 10:00:00,1\n"c,2024-07-01 10:00:00,1\n')
+    kept = QuotedFiles.__init__
+    monkeypatch.setattr(QuotedFiles, "__init__", lambda self, *a, **k: (made.append(self), kept(self, *a, **k))[1])
+    facts = FactTable(str(tmp_path / "fact"))
+    build(spark, root, facts, run_ts=NOW, rules=Rules(day_order="infer"))
+    found = sorted((e, m) for e, _, _, m in rows(facts.read(spark)))
+    assert found == sorted((f"{p.upper()}\n{k}", 20 + k) for p in ("wdw", "dlr", "tdr") for k in (0, 1))
+    assert len(made) == 1 and len(made[0].groups) == 6
