@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from obsledger.operators.dedupe import distinct_rows, keep_last
 from obsledger.operators.explore import entity_rows, latest_per_entity, newest_rows
-from obsledger.operators.merge import Extent, anti_join, within
+from obsledger.operators.merge import Extent, anti_join, time_ranges, within
 from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.observe import observe
 from obsledger.schema import FACT_SCHEMA
@@ -104,3 +104,10 @@ def test_probe_needs_no_package_on_executors():
     assert b"obsledger.schema" not in pickled
     shape = cloudpickle.loads(pickled)("standby", b"Entity_Code , OBSERVED_AT,b\n1,2,3\n")
     assert shape == ("headered", [0, 1, -1, -1], 3, None)
+
+
+def test_days_in_a_row_share_a_range(spark):
+    times = [f"2024-02-{d:02}T0{d % 9}:00:00-05:00" for d in (26, 27, 28, 29)] + ["2024-03-01T01:00:00-05:00"]
+    times += ["2024-03-03T09:00:00-05:00", "2024-03-03T10:00:00-05:00", "odd text"]
+    df = spark.createDataFrame([("A", t, "POSTED", 1) for t in times], FACT_SCHEMA)
+    assert time_ranges(df) == ((times[0], times[4]), (times[5], times[6]), ("odd text", "odd text"))
