@@ -201,8 +201,10 @@ def infer_second(df: DataFrame, local: str, zone: str | Column, by: list[str], o
     z = F.lit(zone) if isinstance(zone, str) else zone
     steps = df.withColumn("__wall", epoch_minutes(F.col(local)) * 60)
     steps = steps.withColumn("__utc", _to_utc(F.col("__wall"), z))
-    steps = _repeated(F.col("__wall"), F.col("__utc"), z, steps).drop("__wall", "__utc", "__late")
-    twice = F.coalesce(F.col("__repeats"), F.lit(False))
+    steps = _repeated(F.col("__wall"), F.col("__utc"), z, steps)
+    # Computed before the two filters on it, which would copy its many zone conversions into each other.
+    steps = computed_once(steps, "__repeats", F.coalesce("__repeats", F.lit(False)), [*df.columns])
+    twice = F.col("__repeats")
     single = steps.filter(~twice).withColumn(SECOND, F.lit(False))
     group = Window.partitionBy(*by, F.to_date(local)).orderBy(order)
     back = F.coalesce(F.col(local) < F.lag(local).over(group), F.lit(False)).cast("int")

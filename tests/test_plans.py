@@ -6,6 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from obsledger.functions.timestamps import infer_second
 from obsledger.operators.dedupe import distinct_rows, keep_last
 from obsledger.operators.explore import entity_rows, latest_per_entity, newest_rows
 from obsledger.operators.merge import Extent, anti_join, time_ranges, within
@@ -111,3 +112,11 @@ def test_days_in_a_row_share_a_range(spark):
     times += ["2024-03-03T09:00:00-05:00", "2024-03-03T10:00:00-05:00", "odd text"]
     df = spark.createDataFrame([("A", t, "POSTED", 1) for t in times], FACT_SCHEMA)
     assert time_ranges(df) == ((times[0], times[4]), (times[5], times[6]), ("odd text", "odd text"))
+
+
+def test_filters_on_repeated_hours_copy_no_zone_conversion(spark):
+    rows = spark.createDataFrame([("a", 1, "2024-11-03 01:30:00")], "file string, place long, t string")
+    rows = rows.select("file", "place", F.col("t").cast("timestamp_ntz").alias("l"))
+    text = infer_second(rows, "l", "America/New_York", ["file"], "place")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in text.splitlines() if re.match(r"[\s:+|-]*Filter", line)]
+    assert filters and not any("utc_timestamp" in line for line in filters)
