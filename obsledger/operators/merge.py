@@ -114,6 +114,8 @@ def anti_join(
     shares with the candidates form a subset of them, so they fit the same
     bound. Otherwise both sides shuffle once on the key; the existing side is
     made distinct first, so a key with many copies shrinks before it travels.
+    Spark must not choose for itself there: it goes by the bytes of the files, and sorted
+    zstd Parquet of a few MB unpacks to gigabytes of a broadcast's hash table.
     """
     names = KEYS if keys is None else keys
     base = existing if extent is None else within(existing, extent)
@@ -121,7 +123,7 @@ def anti_join(
     if extent is not None and extent.bytes <= broadcast_bytes:
         shared = base.join(F.broadcast(candidates.select(*names)), names, "left_semi")
         return candidates.join(F.broadcast(shared.distinct()), names, "left_anti")
-    return candidates.join(base.distinct(), names, "left_anti")
+    return candidates.join(base.distinct().hint("merge"), names, "left_anti")
 
 
 def merge(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -797,12 +798,29 @@ def priority_drops(events: DataFrame, *first: str) -> DataFrame:
     )
 
 
-def _write_families(root: str, standby: DataFrame, priority: DataFrame, **options) -> None:
-    for prop in PROPERTIES:
-        for folder, df in (("wait_times", standby), ("fastpass_times", priority)):
-            df.filter(F.col("prop") == prop).drop("prop").write.options(header=True, **options).csv(
-                f"{root}/{folder}/{prop}"
-            )
+WRITES_AT_ONCE = 12
+
+
+def _write_csvs(frames: dict[str, DataFrame], **options) -> None:
+    """Each frame to its folder. Several at once, as a frame that becomes one file is one task."""
+
+    def write(folder: str) -> None:
+        frames[folder].write.options(header=True, **options).csv(folder)
+
+    with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+        list(pool.map(write, frames))
+
+
+def _by_property(root: str, df: DataFrame, below: str = "") -> dict[str, DataFrame]:
+    """The rows of each property, without ``prop``, by their folder below ``root``."""
+    return {f"{root}/{prop}{below}": df.filter(F.col("prop") == prop).drop("prop") for prop in PROPERTIES}
+
+
+def _write_families(root: str, standby: DataFrame, priority: DataFrame, *, files: int | None = None, **options) -> None:
+    frames = _by_property(f"{root}/wait_times", standby) | _by_property(f"{root}/fastpass_times", priority)
+    if files is not None:
+        frames = {folder: df.repartition(files) for folder, df in frames.items()}
+    _write_csvs(frames, **options)
 
 
 def write_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -986,8 +1004,7 @@ def stream_of_rewrites(spark, sf_dir):
     folder = _run_folder(spark)
     facts, events = FactTable(f"{folder}/fact"), drop_events(spark, sf_dir)
     for k, part in enumerate((events.filter(F.col("event_id") % 2 == 0), events)):
-        frames = [make(part).repartition(1) for make in (standby_drops, priority_drops)]
-        _write_families(f"{folder}/run-{k}", *frames)
+        _write_families(f"{folder}/run-{k}", standby_drops(part), priority_drops(part), files=1)
         _replace_live_files(spark, f"{folder}/run-{k}", f"{folder}/export")
         stream_rewrites(
             spark, f"{folder}/export", facts, f"{folder}/checkpoint", slack_seconds=0

@@ -21,7 +21,7 @@ from obsledger.plans.build import (
 from obsledger.plans.observe import Rules, observe
 from obsledger.schema import SAMPLE_K, SAMPLE_SEED
 from obsledger.session import new_run_id, run_session
-from obsledger.sinks.publish import UPDATE, publish, write_facts
+from obsledger.sinks.publish import UPDATE, publish, stage_facts, write_facts
 from obsledger.sinks.reports import write_sample
 from obsledger.sources.drops import plan_drops
 from obsledger.sources.headers import ReadHead, read_head
@@ -79,7 +79,7 @@ def update_from(
     work = run_session(spark, bytes_of(files))
     observed = observe(work, drops, rules)
     staged = f"{table.staging_path(run_id)}/candidates"
-    write_facts(distinct_rows(observed.rows), staged)
+    stage_facts(distinct_rows(observed.rows), staged)
     keep_left_out(spark, table, run_id, drops, observed, rules)
     candidates = read_facts(work, staged)
     extent = measure(candidates)
@@ -93,6 +93,10 @@ def update_from(
             extent=extent,
             broadcast_bytes=broadcast_bytes,
         )
+        if extent.bytes > broadcast_bytes:
+            joined = f"{table.staging_path(run_id)}/fresh"
+            stage_facts(fresh, joined)
+            fresh = read_facts(work, joined)
         write_facts(fresh, segment)
         new_rows = read_facts(spark, segment).count()
     segments = previous.segments + ([run_id] if new_rows else [])

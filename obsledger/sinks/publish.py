@@ -45,6 +45,14 @@ def write_facts(df: DataFrame, path: str, *, mode: str = "errorifexists") -> Non
     )
 
 
+def stage_facts(df: DataFrame, path: str) -> None:
+    """Rows of a run on their way into a segment, as they come.
+
+    A write by ranges of time computes its rows twice, for the bounds of the ranges first.
+    """
+    typed(df).write.option("compression", "zstd").parquet(path)
+
+
 def publish(
     spark: SparkSession,
     table: FactTable,

@@ -71,6 +71,12 @@ def test_small_merge_does_not_shuffle_the_table(facts):
     assert shuffled.count("HashAggregate") == 4
 
 
+def test_large_merge_broadcasts_no_table(facts):
+    """The file is small, the measured extent is not: well-packed Parquet says little of the rows in it."""
+    text = plan(anti_join(distinct_rows(facts), facts, extent=Extent(1, 1 << 40, ROW[1], ROW[1])))
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+
+
 def test_listing_opens_no_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n")
     text = plan(scan_objects(spark, str(tmp_path)))
