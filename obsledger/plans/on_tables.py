@@ -811,15 +811,12 @@ def _write_csvs(frames: dict[str, DataFrame], **options) -> None:
         list(pool.map(write, frames))
 
 
-def _by_property(root: str, df: DataFrame, below: str = "") -> dict[str, DataFrame]:
-    """The rows of each property, without ``prop``, by their folder below ``root``."""
-    return {f"{root}/{prop}{below}": df.filter(F.col("prop") == prop).drop("prop") for prop in PROPERTIES}
-
-
 def _write_families(root: str, standby: DataFrame, priority: DataFrame, *, files: int | None = None, **options) -> None:
-    frames = _by_property(f"{root}/wait_times", standby) | _by_property(f"{root}/fastpass_times", priority)
-    if files is not None:
-        frames = {folder: df.repartition(files) for folder, df in frames.items()}
+    frames: dict[str, DataFrame] = {}
+    for prop in PROPERTIES:
+        for folder, df in (("wait_times", standby), ("fastpass_times", priority)):
+            mine = df.filter(F.col("prop") == prop).drop("prop")
+            frames[f"{root}/{folder}/{prop}"] = mine if files is None else mine.repartition(files)
     _write_csvs(frames, **options)
 
 
@@ -861,31 +858,27 @@ def write_mixed_drops(spark: SparkSession, sf_dir: str, root: str) -> None:
 
     Files of different layouts lie in folders of their own, so a name may occur in several.
     """
-    plain = f"{root}/plain"
-    write_drops(spark, sf_dir, plain)
+    events = drop_events(spark, sf_dir)
+    half, third = F.pmod(F.xxhash64("entity_code"), F.lit(2)), F.pmod(F.xxhash64("FATTID"), F.lit(3))
+    frames: dict[str, DataFrame] = {}
     for prop in PROPERTIES:
-        standby = spark.read.option("header", True).csv(f"{plain}/wait_times/{prop}")
-        odd = F.pmod(F.xxhash64("entity_code"), F.lit(2)) == 1
-        even = F.pmod(F.xxhash64("Entity_Code"), F.lit(2)) == 0
-        renamed = standby.select(
+        mine = events.filter(F.col("prop") == prop)
+        standby, priority = standby_drops(mine).drop("prop"), priority_drops(mine).drop("prop")
+        renamed = standby.filter(half == 0).select(
             F.lit("x").alias("note"),
             F.col("submitted_posted_time").alias(" Submitted_POSTED_time"),
             F.col("observed_at").alias("OBSERVED_AT "),
             F.col("entity_code").alias("Entity_Code"),
         )
-        for part, frame in (("a", standby.filter(odd)), ("b", renamed.filter(even))):
-            frame.write.option("header", True).csv(f"{root}/export/wait_times/{prop}/{part}")
-        priority = spark.read.option("header", True).csv(f"{plain}/fastpass_times/{prop}")
-        third = F.pmod(F.xxhash64("FATTID"), F.lit(3))
         turned = priority.select(*[F.col(c).alias(c.lower()) for c in reversed(priority.columns)])
-        bare = priority.select(*PRIORITY_COLUMNS)
-        frames = (
-            priority.filter(third == 0),
-            turned.filter(F.pmod(F.xxhash64("fattid"), F.lit(3)) == 1),
-            bare.filter(third == 2).toDF(*[f"field {i}" for i in range(len(PRIORITY_COLUMNS))]),
-        )
-        for k, frame in enumerate(frames):
-            frame.write.option("header", True).csv(f"{root}/export/fastpass_times/{prop}/{k}")
+        bare = priority.filter(third == 2).select(*PRIORITY_COLUMNS)
+        bare = bare.toDF(*[f"field {i}" for i in range(len(PRIORITY_COLUMNS))])
+        for part, frame in (("a", standby.filter(half == 1)), ("b", renamed)):
+            frames[f"{root}/export/wait_times/{prop}/{part}"] = frame
+        turned = turned.filter(F.pmod(F.xxhash64("fattid"), F.lit(3)) == 1)
+        for k, frame in enumerate((priority.filter(third == 0), turned, bare)):
+            frames[f"{root}/export/fastpass_times/{prop}/{k}"] = frame
+    _write_csvs(frames)
 
 
 @query(_DROP_SQL)

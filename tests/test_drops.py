@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obsledger.operators.dedupe import distinct_rows
 from obsledger.operators.merge import Extent, anti_join, measure, merge, within
 from obsledger.operators.sampling import uniform_sample
+from obsledger.plans import on_tables
 from obsledger.plans.build import EmptyListing, build
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
@@ -628,3 +629,19 @@ def test_day_order_without_dates(spark, tmp_path):
     table = FactTable(str(tmp_path / "t"))
     metrics = build(spark, r, table, run_ts=NOW, rules=Rules(day_order="infer")).commit.metrics
     assert metrics["ambiguous_date_files"] == 0
+
+
+def test_mixed_drops_are_written_straight_from_the_events(spark, tmp_path):
+    """No drop is written only to be read back for another one, and each layout has its header."""
+    on_tables.write_mixed_drops(spark, "/root/testdata/sf0.001", str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["export"]
+    found = {}
+    for part in tmp_path.glob("export/*/wdw/*/part-*.csv"):
+        found[f"{part.parts[-4]}/{part.parts[-2]}"] = part.read_text().splitlines()[0]
+    assert found == {
+        "wait_times/a": "entity_code,observed_at,submitted_posted_time",
+        "wait_times/b": "note,Submitted_POSTED_time,OBSERVED_AT,Entity_Code",
+        "fastpass_times/0": "FWINHR,FWINMIN,FATTID,FDAY,FMONTH,FYEAR,FHOUR,FMIN",
+        "fastpass_times/1": "fmin,fhour,fyear,fmonth,fday,fattid,fwinmin,fwinhr",
+        "fastpass_times/2": ",".join(f"field {i}" for i in range(8)),
+    }
