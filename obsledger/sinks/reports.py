@@ -19,17 +19,29 @@ def write_csv(
 ) -> None:
     """CSV with header; an empty frame still gives a header-only file.
 
-    One file is sorted in its own task, since merging sorted partitions into one
-    promises no order.
+    One file comes from one task. The rows are sorted by many before, each a range of them,
+    and checkpointed; the one task then reads range after range and holds none of them.
     """
     if order and single_file:
-        df = df.repartition(1).sortWithinPartitions(*order)
+        df = _sorted_for_one_task(df, order)
     elif order:
         df = df.orderBy(*order)
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def _sorted_for_one_task(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows that ``coalesce(1)`` takes in order.
+
+    Only a checkpoint promises that: its files all have a place or none has, so its partitions are taken one
+    after the other. Of shuffled or cached partitions, those with a known place may come first. A session without
+    a checkpoint folder sorts all rows in the one task.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df.repartition(1).sortWithinPartitions(*order)
+    return df.orderBy(*order).checkpoint()
+
+
 def needs_rows(needs: DataFrame, zone: str) -> DataFrame:
     """Key, UTC time, local time and size of each listed file, newest first."""
     return _needs_columns(needs.orderBy(F.desc("modificationTime"), "path"), zone)

@@ -645,3 +645,21 @@ def test_mixed_drops_are_written_straight_from_the_events(spark, tmp_path):
         "fastpass_times/1": "fmin,fhour,fyear,fmonth,fday,fattid,fwinmin,fwinhr",
         "fastpass_times/2": ",".join(f"field {i}" for i in range(8)),
     }
+
+
+def test_report_of_one_file_is_sorted_by_many_tasks(spark, tmp_path):
+    """The task that writes it holds no rows: no sort in its plan, and the whole report in order."""
+    from obsledger.sinks.reports import _sorted_for_one_task
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    codes = F.concat(F.lit("E"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)))
+    made = session_with(spark, settings).range(0, 20_000, 1, 5).select(codes.alias("entity_code"))
+    made = made.distinct().withColumn("latest_observation_date", F.lit("2024-01-01"))
+    ordered = _sorted_for_one_task(made, [F.col("entity_code")])
+    assert "Sort" not in ordered._jdf.queryExecution().executedPlan().toString()
+    assert ordered.rdd.getNumPartitions() > 1
+    write_latest(made, str(tmp_path / "report"))
+    (part,) = (tmp_path / "report").glob("part-*.csv")
+    lines = part.read_text().splitlines()
+    assert lines[0] == "entity_code,latest_observation_date"
+    assert len(lines) == made.count() + 1 and lines[1:] == sorted(lines[1:])
