@@ -65,7 +65,7 @@ from obsledger.operators.priority import (
 from obsledger.operators.quality import quality
 from obsledger.operators.sampling import uniform_sample
 from obsledger.operators.standby import normalize_standby, unpivot_waits
-from obsledger.plans.build import build
+from obsledger.plans.build import build, bytes_of
 from obsledger.plans.daily import run_daily
 from obsledger.plans.latest import latest
 from obsledger.plans.observe import Rules
@@ -73,7 +73,7 @@ from obsledger.plans.report import freshness, needs_processing
 from obsledger.plans.summaries import ENTITIES_BY_DAY, LATEST, sample_summary, summarize
 from obsledger.plans.update import update_from
 from obsledger.schema import KEYS, PRIORITY_COLUMNS, PROPERTIES
-from obsledger.session import new_run_id, work_dir
+from obsledger.session import new_run_id, table_session, work_dir
 from obsledger.sinks.publish import UPDATE, adopt, publish, restore, write_facts
 from obsledger.sinks.reports import write_needs
 from obsledger.sources.drops import FILE, FILE_ORDER
@@ -81,6 +81,7 @@ from obsledger.sources.manifest import (
     newest_first,
     recent,
     scan_drops,
+    scan_objects,
     timestamp_literal,
     with_zone,
     zone_dimension,
@@ -112,6 +113,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sized(spark: SparkSession, sf_dir: str, *names: str) -> SparkSession:
+    """A session for aggregates over whole tables; see ``table_session``."""
+    files = scan_objects(spark, [f"{sf_dir}/{name}.parquet" for name in names], csv_only=False)
+    return table_session(spark, bytes_of(files))
+
+
 def text_of(c: Column) -> Column:
     return c.cast("string")
 
@@ -521,11 +528,12 @@ def priority_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_PRIORITY_ROWS_SQL)
 def priority_observations(spark, sf_dir):
-    return priority_facts(spark, sf_dir)
+    return priority_facts(sized(spark, sf_dir, "lineitem"), sf_dir)
 
 
 def all_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both families, distinct: the table a full build would publish."""
+    spark = sized(spark, sf_dir, "events", "lineitem")
     standby = normalize_standby(standby_raw(spark, sf_dir), NEW_YORK)
     return distinct_rows(standby.unionByName(priority_facts(spark, sf_dir)))
 

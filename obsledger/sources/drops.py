@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsledger.schema import PRIORITY_COLUMNS, STANDBY, STANDBY_COLUMNS
+from obsledger.session import size_of
 from obsledger.sources.headers import (
     HEADERED,
     ReadHead,
@@ -133,12 +134,6 @@ def _shorten(path_column, shared: str):
     ).otherwise(path_column)
 
 
-def _size(setting: str) -> int:
-    """Bytes of a size setting such as ``128m`` or ``4194304b``."""
-    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?)b?", setting.strip().lower()).groups()
-    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit]
-
-
 def _order_in_file(spark: SparkSession):
     """One bigint that grows along each file, over all its splits.
 
@@ -149,8 +144,8 @@ def _order_in_file(spark: SparkSession):
     bigint, unlike a struct, lets ``max_by`` run as a hash aggregate.
     """
     step = min(
-        _size(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-        _size(spark.conf.get("spark.sql.files.openCostInBytes")),
+        size_of(spark.conf.get("spark.sql.files.maxPartitionBytes")),
+        size_of(spark.conf.get("spark.sql.files.openCostInBytes")),
     )
     split = F.floor(F.col("_metadata.file_block_start") / F.lit(max(1, step)))
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

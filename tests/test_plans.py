@@ -12,7 +12,9 @@ from obsledger.operators.explore import entity_rows, latest_per_entity, newest_r
 from obsledger.operators.merge import Extent, anti_join, time_ranges, within
 from obsledger.operators.sampling import uniform_sample
 from obsledger.plans.observe import observe
+from obsledger.plans import on_tables
 from obsledger.schema import FACT_SCHEMA
+from obsledger.session import TASK_BYTES, session_with, size_of, table_session
 from obsledger.sources import headers
 from obsledger.sources.drops import DropSet, Layout
 from obsledger.sources.manifest import scan_objects
@@ -126,3 +128,18 @@ def test_filters_on_repeated_hours_copy_no_zone_conversion(spark):
     text = infer_second(rows, "l", "America/New_York", ["file"], "place")._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in text.splitlines() if re.match(r"[\s:+|-]*Filter", line)]
     assert filters and not any("utc_timestamp" in line for line in filters)
+
+
+SHARES = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_aggregates_over_tables_give_a_task_a_fixed_share(spark):
+    """Neither scan splits nor merged shuffle partitions grow with the table; the caller's session stays as it is."""
+    wide = session_with(spark, dict.fromkeys(SHARES, "256m"))
+    for made in (on_tables.all_facts, on_tables.priority_observations):
+        used = made(wide, "/root/testdata/sf0.001").sparkSession.conf
+        assert all(size_of(used.get(key)) <= TASK_BYTES for key in SHARES)
+    assert all(wide.conf.get(key) == "256m" for key in SHARES)
+    assert int(table_session(wide, 1 << 32).conf.get("spark.sql.shuffle.partitions")) >= (1 << 32) // TASK_BYTES
+    small = session_with(spark, dict.fromkeys(SHARES, "1m"))
+    assert all(table_session(small, 1 << 32).conf.get(key) == "1m" for key in SHARES)
